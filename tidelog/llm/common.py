@@ -50,3 +50,12 @@ def ascii_lower(text: Column) -> Column:
 def space_words(text: Column) -> Column:
     """The maximal runs of characters other than ASCII white space; an empty array for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SEPARATOR), lambda w: w != "")
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if a count finds at most ``rows`` rows, which must be narrow and
+    already written; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, quality, sentencepiece_codec, token_counts, url_rules, warc
+from tidelog.llm import chat, decontaminate, quality, sentencepiece_codec, token_counts, url_rules, warc
 from tidelog.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -37,6 +41,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": op2_url_filters,
+    "op3_decontamination": op3_decontamination,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
@@ -56,6 +61,7 @@ FROM f
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": url_rules.JUDGE_SQL,
+    "op3_decontamination": decontaminate.CONTAMINATION_SQL,
     "op6_chat_formatting": chat.ROTATE_SQL,
     "op8_quality_rules": quality.JUDGE_SQL,
     "op10_warc": OP10_SQL,
