@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, quality, sentencepiece_codec, token_counts, url_rules, warc
+from tidelog.llm import chat, decontaminate, language, quality, sentencepiece_codec, token_counts, url_rules, warc
 from tidelog.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +44,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_url_filters": op2_url_filters,
     "op3_decontamination": op3_decontamination,
     "op6_chat_formatting": op6_chat_formatting,
