@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import chat, decontaminate, language, ngram_join, quality, sentencepiece_codec, token_counts, url_rules, warc
+from tidelog.llm import chat, decontaminate, language, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_counts, url_rules, warc
 from tidelog.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_url_filters": op2_url_filters,
     "op3_decontamination": op3_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_counts": op7_token_counts,
@@ -72,6 +77,7 @@ FROM f
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": url_rules.JUDGE_SQL,
     "op3_decontamination": decontaminate.CONTAMINATION_SQL,
+    "op4_suffix_dedup": suffix_dedup.DEDUP_SQL,
     "op5_ngram_join": ngram_join.JOIN_SQL,
     "op6_chat_formatting": chat.ROTATE_SQL,
     "op8_quality_rules": quality.JUDGE_SQL,
