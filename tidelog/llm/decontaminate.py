@@ -95,16 +95,13 @@ def _occurring(words: Column, c: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(c["item_words"]) - c["length"]), same)
 
 
-def contamination(
-    documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id"
+def measured(
+    documents: DataFrame, benchmark: DataFrame, carry: list[str], key: str = "doc_id", text: str = "text", item: str = "item_id"
 ) -> DataFrame:
-    """Per document: n_words, n_hit (words inside occurring windows), n_items and items_sha256 (of
-    the items that have such a window) and contaminated.
-
-    Null and empty texts have no words and are clean; items without words are left out; repeated
-    documents give a row each and repeated items count once; an empty benchmark leaves all clean.
-    The texts are read three times (counts, postings, comparison) and shuffled once."""
-    keyed = documents.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
+    """Per document: ``_row`` (struct of the ``carry`` columns), n_words, n_hit and _items (the items,
+    as sorted strings, that have an occurring window)."""
+    row = F.struct(*[F.col(f"`{c}`") for c in carry])
+    keyed = documents.select(row.alias("_row"), F.col(key).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     words = keyed.select("_id", "_hash", plain_words(F.col("_text")).alias("_words"))
     items = item_words(benchmark, item)
     wins = windows(items, term_counts(words, items))
@@ -114,7 +111,7 @@ def contamination(
     )
     joined = keyed.join(
         stash(spots, "alignments"), F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_hash") == F.col("_hash2")), "left"
-    ).select("_id", plain_words(F.col("_text")).alias("_words"), "_spots")
+    ).select("_row", plain_words(F.col("_text")).alias("_words"), "_spots")
     w = F.col("_words")
     hits = F.transform(
         "_spots",
@@ -123,9 +120,9 @@ def contamination(
             F.transform(_occurring(w, c), lambda o: F.struct((o + c["shift"]).alias("at"), (o + c["shift"] + c["length"]).alias("end"))).alias("spans"),
         ),
     )
-    rows = joined.select("_id", F.size("_words").cast("long").alias("n_words"), F.filter(hits, lambda h: F.size(h["spans"]) > 0).alias("_hits"))
+    rows = joined.select("_row", F.size("_words").cast("long").alias("n_words"), F.filter(hits, lambda h: F.size(h["spans"]) > 0).alias("_hits"))
     rows = rows.select(
-        "_id",
+        "_row",
         "n_words",
         F.array_sort(F.flatten(F.col("_hits.spans"))).alias("_spans"),
         F.array_sort(F.array_distinct(F.col("_hits.item"))).alias("_items"),
@@ -141,17 +138,38 @@ def contamination(
         lambda a: a["n"],
     )
     n_hit = F.coalesce(covered, F.lit(0)).cast("long")
-    rows = rows.select("_id", "n_words", n_hit.alias("n_hit"), F.coalesce("_items", F.array().cast("array<string>")).alias("_items"))
+    return rows.select("_row", "n_words", n_hit.alias("n_hit"), F.coalesce("_items", F.array().cast("array<string>")).alias("_items"))
+
+
+def is_contaminated() -> Column:
+    return (F.col("n_hit") > 0) & (ONE_IN * F.col("n_hit") >= F.col("n_words"))
+
+
+def contamination(
+    documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id"
+) -> DataFrame:
+    """Per document: n_words, n_hit (words inside occurring windows), n_items and items_sha256 (of
+    the items that have such a window) and contaminated.
+
+    Null and empty texts have no words and are clean; items without words are left out; repeated
+    documents give a row each and repeated items count once; an empty benchmark leaves all clean.
+    The texts are read three times (counts, postings, comparison) and shuffled at most once."""
+    rows = measured(documents, benchmark, [key], key, text, item)
     return rows.select(
-        F.col("_id").alias(key),
+        F.col("_row")[key].alias(key),
         "n_words",
         "n_hit",
         F.size("_items").cast("long").alias("n_items"),
         F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (ONE_IN * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        is_contaminated().alias("contaminated"),
     )
 
 
+def clean_documents(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that are not contaminated, with all their columns."""
+    return measured(documents, benchmark, documents.columns, key, text).where(~is_contaminated()).select("_row.*")
+
+
 def proximity(documents: DataFrame, benchmark: DataFrame, slop: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents where the two rarest words of an item's window stand within ``slop`` words of each
     other, in any order: key, item, start (of the window in the item) and the least gap. Windows of

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import stash
+from tidelog.llm.common import hinted, stash
 from tidelog.llm.components import components
 
 SHINGLE = 4
@@ -229,6 +229,22 @@ def join_documents(documents: DataFrame, key: str = "doc_id", text: str = "text"
     return rows.select(key, F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "_id").alias("component_id"))
 
 
+def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``documents`` without those that link, directly or over others, to one of a lesser id. Of rows
+    that repeat an id one stays, the first by text. Documents without words or id all stay."""
+    from pyspark.sql import Window
+
+    _, groups = similar_groups(documents, key, text, size, percent)
+    gone = stash(groups.where(F.col("node") != F.col("component")).select(F.col("node").alias("_gone")), "gone")
+    kept = documents.join(hinted(gone), F.col(key).cast("long") == F.col("_gone"), "left_anti")
+    again = stash(kept.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_again")).count().where("count > 1"), "repeated-ids")
+    if again.isEmpty():
+        return kept
+    doubled = kept.join(again.select("_again"), F.col(key) == F.col("_again"), "left_semi")
+    first = doubled.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(text))).where("_k = 1").drop("_k")
+    return kept.join(again.select("_again"), F.col(key) == F.col("_again"), "left_anti").union(first)
+
+
 JOIN_SQL = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
