@@ -12,7 +12,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import ascii_lower, stash
+from tidelog.llm.common import ascii_lower, hinted, stash
 
 #: The given rules, host and path.
 GIVEN_RULES = (
@@ -123,7 +123,7 @@ def judge_urls(
     mined = match_rules(tokens, mine_rules(labelled(tokens, labels), min_support, min_confidence))
     given = given_rule(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("mined_rule").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
-    judged = tokens.join(mined, "tokens", "left").withColumn("_given", given)
+    judged = tokens.join(hinted(stash(mined, "url-matches")), "tokens", "left").withColumn("_given", given)
     return judged.select(
         "page_id",
         "host",
