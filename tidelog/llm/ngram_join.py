@@ -1,14 +1,18 @@
 """Self-join of documents by the Jaccard similarity of their word n-grams, with a token-group matrix.
 
-Two sets of sizes a <= b can only reach the similarity if they share 85 % of b's tokens, so under any
-common order of tokens each has one of the shared ones among its first ``b - ceil(0.85 b) + 1``, its
-prefix. Here a fixed fifth of all tokens (by hash) comes first, rarest first, and the others after
-it; counting how many documents have a token needs that fifth only.
-
-1. Tokens that one document has alone are left out. Documents that share a prefix token form blocks.
-2. Each document is compared with the least document of each of its blocks, and the links found
-   partition similar documents into groups.
-3. Each group's union of tokens is a row of the token-group matrix. A document that shares a block
+Sets of n and m tokens link only if they share at least 85 (n + m) / 185 tokens, so a set of n links
+only if it shares all but 15 % of its tokens with another one.
+
+1. A fifth of all tokens, by hash, tells which documents can link at all: at least so many of its
+   sampled tokens have to occur in other documents. Equal sets are joined to their least document.
+2. The other documents' tokens are counted among themselves and ordered, rarest first. At the first
+   token that two linked sets share, at positions i and j, both n - i and m - j tokens are left and
+   must reach the share asked for. So each set needs a row for its first tokens only, with the
+   greatest partner size that it can still link to from there (``reach``). Documents that have such
+   a token in common form a block.
+3. Each document is compared with one leader of each of its blocks, the one with the smallest share
+   of tokens of its own. The links found partition similar documents into groups.
+4. Each group's union of tokens is a row of the token-group matrix. A document that shares a block
    with another group can only link to a member if enough of its tokens are in the group's row;
    groups that reach this bound are opened and their members in that block compared.
 
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import hinted, stash
@@ -31,7 +35,7 @@ from tidelog.llm.components import components
 
 SHINGLE = 4
 PERCENT = 85
-SAMPLED = 5  # one token in so many, by hash, comes first in the order
+SAMPLED = 5  # one token in so many, by hash, tells which documents can link
 REMEMBERED = 1 << 19
 
 
@@ -72,82 +76,86 @@ class ShingleHashes:
         return np.unique(out)
 
 
-def prefix_length(n, percent: int):
-    """Tokens of a set of n that must include one shared with any set it links to."""
-    return n + 1 - (percent * n + 99) // 100
+def slack(n, percent: int):
+    """How many tokens of a set of n may be missing in a set that it links to."""
+    return n - F.floor((n * percent + 99) / 100)
 
 
-def token_rows(documents: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """Rows (token, doc, meta, first): the tokens of each document that its prefix can come from.
-    ``first`` marks the sampled fifth; ``meta`` is 0 but in one row of each document, where it
-    holds n * 2^24 + s + 1 (n tokens, s of them sampled). A document without words has that row
-    only, with a null token."""
+def sampled_rows(documents: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """Rows (token, doc) for the sampled tokens, and one row without token for each document, which
+    has n, s (sampled tokens) and 128 bits of hash of its set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = ShingleHashes(size)
         for b in batches:
-            tokens, docs, metas, firsts = [], [], [], []
-            empty = []
+            tokens, docs, rows = [], [], []
             for d, t in zip(b["_doc"], b["_text"], strict=True):
                 x = hashes(t)
-                if not len(x):
-                    empty.append(d)
-                    continue
-                sampled = x % np.uint64(SAMPLED) == 0
-                s, n = int(sampled.sum()), len(x)
-                more = max(0, prefix_length(n, percent) - s)
-                own = np.concatenate([x[sampled], x[~sampled][:more]])
-                meta = np.zeros(len(own), np.int64)
-                meta[0] = (n << 24) + s + 1
-                first = np.zeros(len(own), bool)
-                first[:s] = True
-                tokens.append(own.view(np.int64))
-                docs.append(np.full(len(own), d, np.int64))
-                metas.append(meta)
-                firsts.append(first)
-            if tokens:
-                columns = {"token": tokens, "doc": docs, "meta": metas, "first": firsts}
-                yield pd.DataFrame({k: np.concatenate(v) for k, v in columns.items()})
-            if empty:
-                none = pd.array([None] * len(empty), dtype="Int64")
-                yield pd.DataFrame({"token": none, "doc": empty, "meta": 1, "first": False})
+                chosen = x[x % np.uint64(SAMPLED) == 0]
+                digest = xxhash.xxh3_128_digest(x.tobytes())
+                rows.append((d, len(x), len(chosen), *np.frombuffer(digest, np.int64).tolist()))
+                tokens.append(chosen.view(np.int64))
+                docs.append(np.full(len(chosen), d, np.int64))
+            yield pd.DataFrame({"token": np.concatenate(tokens), "doc": np.concatenate(docs), "n": 0, "s": 0, "h1": 0, "h2": 0})
+            own = pd.DataFrame(rows, columns=["doc", "n", "s", "h1", "h2"])
+            own.insert(0, "token", pd.array([None] * len(own), dtype="Int64"))
+            yield own
 
     rows = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_doc"), F.col(text).alias("_text"))
-    return rows.mapInPandas(run, "token long, doc long, meta long, first boolean")
+    return rows.mapInPandas(run, "token long, doc long, n long, s long, h1 long, h2 long")
 
 
-def document_tokens(rows: DataFrame, percent: int) -> DataFrame:
-    """Per document: n, s (sampled tokens), ``shared`` (its sampled tokens that others have too) and
-    ``prefix`` (those tokens of its prefix that others have too)."""
-    from pyspark.sql import Window
-
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Per document: n, ``same`` (the least document of an equal set) and ``open``, whether it can link
+    to a different set. Where ids repeat, the larger set counts."""
     spread = rows.withColumn("df", F.when(F.col("token").isNotNull(), F.count("token").over(Window.partitionBy("token"))))
-    kept = spread.where((F.col("df") > 1) | (F.col("meta") > 0))
-    entry = F.struct("df", "token")
-    common = F.col("df") > 1
-    docs = kept.groupBy("doc").agg(
-        F.max("meta").alias("meta"),
-        F.collect_set(F.when(common & F.col("first"), entry)).alias("sampled"),
-        F.collect_set(F.when(common & ~F.col("first"), F.col("token"))).alias("later"),
-    )
-    docs = docs.select(
-        "doc",
-        F.shiftright("meta", 24).alias("n"),
-        (F.col("meta").bitwiseAND(F.lit((1 << 24) - 1)) - 1).alias("s"),
-        F.array_sort("sampled").alias("sampled"),
-        "later",
+    docs = spread.groupBy("doc").agg(
+        *[F.max(c).alias(c) for c in ("n", "s")],
+        F.max(F.struct("n", "h1", "h2")).alias("h"),
+        F.sum((F.col("df") > 1).cast("long")).alias("shared"),
     )
-    take = prefix_length_column(F.col("n"), percent) - (F.col("s") - F.size("sampled"))
-    first = F.slice(F.col("sampled.token"), F.lit(1), F.greatest(take, F.lit(0)).cast("int"))
-    return docs.select("doc", "n", "s", F.col("sampled.token").alias("shared"), F.concat(first, "later").alias("prefix"))
+    same = F.min("doc").over(Window.partitionBy("h"))
+    enough = F.coalesce("shared", F.lit(0)) >= F.col("s") - slack(F.col("n"), percent)
+    return docs.select("doc", "n", F.when(F.col("n") > 0, same).otherwise(F.col("doc")).alias("same"), (enough & (F.col("n") > 0)).alias("open"))
 
 
-def prefix_length_column(n, percent: int):
-    return n + 1 - F.floor((n * percent + 99) / 100)
+def all_rows(texts: DataFrame, size: int) -> DataFrame:
+    """Rows (token, doc, n) for all tokens; n is 0 but in the first row of each document."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = ShingleHashes(size)
+        for b in batches:
+            sets = [hashes(t) for t in b["text"]]
+            lengths = np.array([len(x) for x in sets], np.int64)
+            n = np.zeros(int(lengths.sum()), np.int64)
+            filled = lengths > 0
+            n[(np.cumsum(lengths) - lengths)[filled]] = lengths[filled]
+            token = np.concatenate(sets).view(np.int64)
+            yield pd.DataFrame({"token": token, "doc": np.repeat(b["doc"].to_numpy(), lengths), "n": n})
+
+    return texts.mapInPandas(run, "token long, doc long, n long")
+
+
+def ordered_tokens(rows: DataFrame, percent: int) -> DataFrame:
+    """Per document that can link: n, own (tokens that no other has) and ``shared`` (the others, as
+    struct(df, token), rarest first)."""
+    spread = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    kept = spread.where((F.col("df") > 1) | (F.col("n") > 0))
+    docs = kept.groupBy("doc").agg(
+        F.max("n").alias("n"), F.array_sort(F.collect_set(F.when(F.col("df") > 1, F.struct("df", "token")))).alias("shared")
+    )
+    docs = docs.withColumn("own", F.col("n") - F.size("shared"))
+    return docs.where(F.col("own") <= slack(F.col("n"), percent))
 
 
-def _may_link(n, other, percent: int):
-    return 100 * F.least(n, other) >= percent * F.greatest(n, other)
+def block_rows(docs: DataFrame, percent: int) -> DataFrame:
+    """Rows (token, doc, n, reach, share): the tokens of a document that may be the first it has in
+    common with a linked one, and the greatest size of that one."""
+    first = F.slice("shared", F.lit(1), (slack(F.col("n"), percent) - F.col("own") + 1).cast("int"))
+    rows = docs.select("doc", "n", "own", F.posexplode(F.transform(first, lambda x: x["token"])).alias("at", "token"))
+    left = F.col("n") - F.col("own") - F.col("at")
+    reach = F.floor(left * (100 + percent) / percent) - F.col("n")
+    return rows.select("token", "doc", "n", reach.alias("reach"), (F.col("own") / F.col("n")).alias("share"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -171,51 +179,61 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return pairs.join(one, "a").join(two, "b").select("a", "b", "_ta", "_tb").mapInPandas(run, "a long, b long")
 
 
+def _fits(reach, n, other_reach, other_n):
+    return (F.col(n) <= F.col(other_reach)) & (F.col(other_n) <= F.col(reach))
+
+
 def similar_groups(
     documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
-    """``(sizes, groups)``: n by doc (0 for texts without words), and node and component (least
-    document reachable by links) of each document with a link."""
-    docs = stash(document_tokens(token_rows(documents, key, text, size, percent), percent), "document-tokens")
-    members = stash(docs.select(F.explode("prefix").alias("token"), "doc", "n"), "blocks")
-    blocks = members.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("lead"), F.max("doc").alias("last"))
-    blocks = blocks.where(F.col("lead.doc") != F.col("last"))
-    led = members.join(blocks, "token").where((F.col("doc") != F.col("lead.doc")) & _may_link(F.col("n"), F.col("lead.n"), percent))
-    pairs = stash(led.select(F.col("doc").alias("a"), F.col("lead.doc").alias("b")).distinct(), "leader-pairs")
-    wanted = members.select("doc").distinct()
-    texts = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).join(wanted, "doc", "left_semi")
-    texts = stash(texts, "candidate-texts")
+    """``(sizes, groups)``: doc, n (0 for texts without words) and ``same``, the least document of an
+    equal set; and node and component (least document reachable by links) of the documents that
+    stand for their set and have a link."""
+    sizes = stash(candidates(sampled_rows(documents, key, text, size), percent), "set-sizes")
+    chosen = stash(sizes.where(F.col("open") & (F.col("doc") == F.col("same"))).select("doc"), "candidates")
+    texts = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    texts = stash(texts.join(hinted(chosen), "doc", "left_semi"), "candidate-texts")
+    docs = stash(ordered_tokens(all_rows(texts, size), percent), "candidate-sets")
+    blocks = stash(block_rows(docs, percent), "blocks")
+    leads = blocks.groupBy("token").agg(F.min(F.struct("share", "doc", "n", "reach")).alias("lead"), F.count(F.lit(1)).alias("members"))
+    leads = leads.where("members > 1").select("token", F.col("lead.doc").alias("b"), F.col("lead.n").alias("_n"), F.col("lead.reach").alias("_reach"))
+    led = blocks.join(leads, "token").where((F.col("doc") != F.col("b")) & _fits("reach", "n", "_reach", "_n"))
+    pairs = stash(led.select(F.col("doc").alias("a"), "b").distinct(), "leader-pairs")
     links = stash(verified(pairs, texts, size, percent), "links")
     groups = stash(components(links), "groups")
+    late = stash(verified(later_pairs(docs, blocks, groups, pairs, percent), texts, size, percent), "late-links")
+    if not late.isEmpty():
+        groups = stash(components(links.union(late)), "groups")
+    return sizes.select("doc", "n", "same"), groups
+
 
-    # the token-group matrix: which documents may link to a member of another group
-    placed = members.join(groups, F.col("doc") == F.col("node"), "left").withColumn("group", F.coalesce("component", "doc"))
-    placed = stash(placed.select("token", "doc", "n", "group"), "placed")
+def later_pairs(docs: DataFrame, blocks: DataFrame, groups: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different groups that may link: the token-group matrix."""
+    placed = blocks.join(groups, F.col("doc") == F.col("node"), "left").withColumn("group", F.coalesce("component", "doc"))
+    placed = stash(placed.select("token", "doc", "n", "reach", "group"), "placed")
     mixed = placed.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high"))
     mixed = mixed.where(F.col("_low") != F.col("_high")).select("token")
-    open_blocks = stash(placed.join(mixed, "token", "left_semi"), "mixed-blocks")
-    extent = open_blocks.groupBy("group").agg(F.count_distinct("doc").alias("extent"))
-    sized = stash(open_blocks.join(extent, "group"), "mixed-blocks")
-    group_blocks = sized.groupBy("token", "group", "extent").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    group_blocks = group_blocks.select("token", F.col("group").alias("other"), F.col("extent").alias("o_extent"), "least", "most")
+    inside = placed.join(mixed, "token", "left_semi")
+    extent = placed.groupBy("group").agg(F.count_distinct("doc").alias("extent"))
+    sized = stash(inside.join(extent, "group"), "mixed-blocks")
+    parts = sized.groupBy("token", "group", "extent").agg(F.min("n").alias("least"), F.max("reach").alias("most"))
+    parts = parts.select("token", F.col("group").alias("other"), F.col("extent").alias("o_extent"), "least", "most")
     smaller = F.struct("extent", "group") < F.struct(F.col("o_extent").alias("extent"), F.col("other").alias("group"))
-    fits = (100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n"))
-    asks = stash(sized.join(group_blocks, "token").where(smaller & fits).select("doc", "other").distinct(), "queries")
-    matrix = placed.select("doc", "group").distinct().join(asks.select(F.col("other").alias("group")).distinct(), "group", "left_semi")
-    matrix = matrix.join(docs, "doc").select(F.col("group").alias("other"), F.explode("shared").alias("token")).distinct()
-    asked = asks.join(docs.select("doc", "n", "s", "shared"), "doc")
-    hits = asked.select("doc", "other", F.explode("shared").alias("token")).join(matrix, ["other", "token"])
+    asks = sized.join(parts, "token").where(smaller & _fits("reach", "n", "most", "least"))
+    asks = stash(asks.select("doc", "other").distinct(), "queries")
+    wanted = stash(asks.select(F.col("other").alias("group")).distinct(), "asked-groups")
+    members = placed.select("doc", "group").distinct().join(wanted, "group", "left_semi")
+    matrix = members.join(docs, "doc").select(F.col("group").alias("other"), F.explode("shared.token").alias("token")).distinct()
+    asked = asks.join(docs.select("doc", "n", "shared"), "doc")
+    hits = asked.select("doc", "other", F.explode("shared.token").alias("token")).join(matrix, ["other", "token"])
     overlap = hits.groupBy("doc", "other").agg(F.count(F.lit(1)).alias("overlap"))
-    bound = F.col("s") - (prefix_length_column(F.col("n"), percent) - 1)
-    opened = asked.join(overlap, ["doc", "other"], "left").where(F.coalesce("overlap", F.lit(0)) >= bound).select("doc", "other")
-    inside = sized.select(F.col("token").alias("_token"), F.col("doc").alias("b"), F.col("n").alias("_n"), F.col("group").alias("_group"))
-    met = sized.join(opened, "doc").join(inside, (F.col("token") == F.col("_token")) & (F.col("other") == F.col("_group")))
-    more = met.where(_may_link(F.col("n"), F.col("_n"), percent)).select(F.col("doc").alias("a"), "b").distinct()
-    done = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    late = stash(verified(more.join(done, ["a", "b"], "left_anti"), texts, size, percent), "late-links")
-    if not late.isEmpty():
-        groups = stash(components(links.union(late)), "groups")
-    return docs.select("doc", "n"), groups
+    bound = F.col("n") - slack(F.col("n"), percent)
+    opened = stash(asked.join(overlap, ["doc", "other"]).where(F.col("overlap") >= bound).select("doc", "other"), "opened")
+    right = sized.select(F.col("token").alias("_token"), F.col("doc").alias("b"), F.col("n").alias("_n"), F.col("reach").alias("_reach"), F.col("group").alias("_group"))
+    met = sized.join(opened, "doc").join(right, (F.col("token") == F.col("_token")) & (F.col("other") == F.col("_group")))
+    more = met.where(_fits("reach", "n", "_reach", "_n")).select(F.col("doc").alias("a"), "b").distinct()
+    known = done.select("a", "b").union(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return stash(more.join(known, ["a", "b"], "left_anti"), "late-pairs")
 
 
 def join_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -225,17 +243,16 @@ def join_documents(documents: DataFrame, key: str = "doc_id", text: str = "text"
     the larger of their sets' sizes, and each gives a row; a null id gives null results."""
     sizes, groups = similar_groups(documents, key, text, size, percent)
     rows = documents.select(F.col(key).alias(key), F.col(key).cast("long").alias("_id"))
-    rows = rows.join(sizes, F.col("_id") == F.col("doc"), "left").join(groups, F.col("_id") == F.col("node"), "left")
-    return rows.select(key, F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "_id").alias("component_id"))
+    rows = rows.join(sizes, F.col("_id") == F.col("doc"), "left").join(groups, F.col("same") == F.col("node"), "left")
+    return rows.select(key, F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "same").alias("component_id"))
 
 
 def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``documents`` without those that link, directly or over others, to one of a lesser id. Of rows
     that repeat an id one stays, the first by text. Documents without words or id all stay."""
-    from pyspark.sql import Window
-
-    _, groups = similar_groups(documents, key, text, size, percent)
-    gone = stash(groups.where(F.col("node") != F.col("component")).select(F.col("node").alias("_gone")), "gone")
+    sizes, groups = similar_groups(documents, key, text, size, percent)
+    least = sizes.join(groups, F.col("same") == F.col("node"), "left").withColumn("least", F.coalesce("component", "same"))
+    gone = stash(least.where(F.col("doc") != F.col("least")).select(F.col("doc").alias("_gone")), "gone")
     kept = documents.join(hinted(gone), F.col(key).cast("long") == F.col("_gone"), "left_anti")
     again = stash(kept.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_again")).count().where("count > 1"), "repeated-ids")
     if again.isEmpty():
