@@ -180,14 +180,47 @@ def _unpack(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def _string_rows(strings: list[tuple]) -> list[tuple]:
+    """Rows for the strings of crowded grams: (hash, hash, start, doc, fold, ask) by arrays. A string
+    that is here twice is known to be repeated, so its starts are given as runs (without hashes),
+    and for all others to be counted with it stands one row."""
+    one, two, at, doc, fold, ask = (np.concatenate(x) for x in zip(*strings, strict=True))
+    order = np.lexsort((two, one))
+    new = np.r_[True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])]
+    first = np.nonzero(new)[0]
+    times = np.diff(np.r_[first, len(order)])
+    seed = order[first]
+    rows = []
+    for k, n in zip(seed.tolist(), times.tolist(), strict=True):
+        rows.append((one[k], two[k], None, doc[k], fold[k], int(at[k]) << (SPAN_BITS + OFF_BITS) | 1, bool(ask[k]) and n == 1, min(n, 2)))
+    known = np.sort(order[np.repeat(times, times) > 1])
+    known = known[ask[known]]
+    if len(known):
+        here = at[known]
+        follows = (here[1:] == here[:-1] + 1) & (doc[known][1:] == doc[known][:-1]) & (fold[known][1:] == fold[known][:-1])
+        follows &= here[1:] % 128 != 0  # a place holds short runs only
+        begin = np.nonzero(np.r_[True, ~follows])[0]
+        for k, n in zip(known[begin].tolist(), np.diff(np.r_[begin, len(known)]).tolist(), strict=True):
+            rows.append((None, None, None, doc[k], fold[k], int(at[k]) << (SPAN_BITS + OFF_BITS) | n, True, 0))
+    return rows
+
+
 def context_rows(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
-    """What is to be compared. Of a crowded gram: a row for each string, with two hashes. Of the
-    others: a row for each context, with its bytes."""
+    """What is to be compared. Of a crowded gram: a row for each string that differs from others in
+    the batch, with two hashes, and runs of those that do not. Of the others: a row for each
+    context, with its bytes."""
     wanted = anchors.where("ask OR lend").groupBy("doc", "fold").agg(F.collect_list(F.struct("gram", "place", "ask", "crowd")).alias("_marks"))
+    names = ["gram", "second", "bytes", "doc", "fold", "place", "ask", "times"]
+
+    def frame(rows: list[tuple], strings: list[tuple]) -> pd.DataFrame:
+        columns = dict(zip(names, zip(*(rows + (_string_rows(strings) if strings else [])), strict=True), strict=True))
+        for c in ("gram", "second"):  # with nulls, and of more bits than a float holds
+            columns[c] = pd.array(list(columns[c]), dtype="Int64")
+        return pd.DataFrame(columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, strings, size = [], [], 0
         for b in batches:
-            out, size = [], 0
             for doc, fold, packed, marks in zip(b["doc"], b["fold"], b["packed"], b["_marks"], strict=True):
                 data = _unpack(packed)
                 hashes = None
@@ -196,7 +229,7 @@ def context_rows(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame
                     lo = m["place"] >> (SPAN_BITS + OFF_BITS)
                     if not m["crowd"]:
                         part = data[lo : lo + span - 1 + length]
-                        out.append((m["gram"], 0, part, doc, fold, m["place"], m["ask"]))
+                        out.append((m["gram"], None, part, doc, fold, m["place"], m["ask"], 1))
                         size += len(part)
                         continue
                     if hashes is None:
@@ -204,19 +237,15 @@ def context_rows(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame
                         hashes = (PrefixHashes(flat), PrefixHashes(flat, BASE2))
                     at = np.arange(lo, lo + span)
                     one, two = (_mixed(h.of(at, length)).view(np.int64) for h in hashes)
-                    for p, x, y in zip(at.tolist(), one.tolist(), two.tolist(), strict=True):
-                        out.append((x, y, None, doc, fold, (p << (SPAN_BITS + OFF_BITS)) | 1, m["ask"]))
-                    size += 32 * span
+                    strings.append((one, two, at, np.full(span, doc), np.full(span, fold), np.full(span, m["ask"])))
+                    size += 40 * span
                 if size > FLAT_BYTES:
-                    yield _frame(out)
-                    out, size = [], 0
-            if out:
-                yield _frame(out)
+                    yield frame(out, strings)
+                    out, strings, size = [], [], 0
+        if size:
+            yield frame(out, strings)
 
-    def _frame(rows):
-        return pd.DataFrame(rows, columns=["gram", "second", "bytes", "doc", "fold", "place", "ask"])
-
-    schema = "gram long, second long, bytes binary, doc long, fold int, place long, ask boolean"
+    schema = "gram long, second long, bytes binary, doc long, fold int, place long, ask boolean, times int"
     return texts.join(wanted, ["doc", "fold"]).mapInPandas(run, schema)
 
 
@@ -363,12 +392,17 @@ def compared(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def counted(contexts: DataFrame) -> DataFrame:
-    """The same for crowded grams: strings whose 128-bit hash is found twice or more. Counts are
-    combined before their shuffle."""
-    strings = contexts.where("bytes IS NULL")
-    twice = strings.groupBy("gram", "second").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    found = strings.where("ask").join(twice, ["gram", "second"])
-    return found.select("doc", "fold", F.shiftright("place", SPAN_BITS + OFF_BITS).alias("start"), F.lit(1).cast("long").alias("count"))
+    """The same for crowded grams: strings whose 128-bit hash is found twice or more, and the runs
+    that are known already. Counts are combined before their shuffle."""
+    strings = contexts.where("second IS NOT NULL")
+    twice = strings.groupBy("gram", "second").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
+    found = strings.where("ask").join(twice, ["gram", "second"]).select("doc", "fold", "place")
+    return _places(found.union(contexts.where("gram IS NULL").select("doc", "fold", "place")))
+
+
+def _places(rows: DataFrame) -> DataFrame:
+    start, count = F.shiftright("place", SPAN_BITS + OFF_BITS), F.col("place").bitwiseAND(F.lit((1 << SPAN_BITS) - 1))
+    return rows.select("doc", "fold", start.alias("start"), count.alias("count"))
 
 
 def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -378,12 +412,7 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + (1 << OFF_BITS) - 1}")
     anchors = stash(sorted_anchors(anchor_rows(documents, key, text, length)), "anchors")
     contexts = stash(context_rows(packed_texts(documents, key, text), anchors, length), "contexts")
-    whole = anchors.where("whole").select(
-        "doc",
-        "fold",
-        F.shiftright("place", SPAN_BITS + OFF_BITS).alias("start"),
-        F.col("place").bitwiseAND(F.lit((1 << SPAN_BITS) - 1)).alias("count"),
-    )
+    whole = _places(anchors.where("whole"))
     found = stash(compared(contexts, length).union(counted(contexts)), "compared").union(whole)
     return found.groupBy("doc", "fold").agg(F.collect_list(F.struct("start", "count")).alias("_runs"))
 
