@@ -108,6 +108,20 @@ def anchors_of(texts: list[bytes], length: int, gram: int = GRAM) -> tuple[np.nd
     return t, grams[a].view(np.int64), context.view(np.int64), place
 
 
+def _combine(gram: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """How many anchors each row stands for. Of equal contexts in a batch one row stands for all; the
+    others are known to be repeated and stand for none, and their grams are replaced by a hash of
+    their place, so that a gram that is everywhere does not gather its rows in one task."""
+    order = np.lexsort((place, doc, context, gram))
+    same = np.r_[False, (gram[order][1:] == gram[order][:-1]) & (context[order][1:] == context[order][:-1])] if len(order) else np.empty(0, bool)
+    first = np.nonzero(~same)[0]
+    times = np.zeros(len(order), np.int32)
+    times[order[first]] = np.diff(np.r_[first, len(order)])
+    gone = order[same]
+    gram[gone] = _mixed(_mixed(doc[gone].view(np.uint64)) + place[gone].view(np.uint64)).view(np.int64)
+    return times
+
+
 def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
     """doc and fold: together they tell apart rows that share an id, or have none, by their texts."""
     return documents.select(
@@ -128,9 +142,9 @@ def anchor_rows(documents: DataFrame, key: str, text: str, length: int) -> DataF
             def rows(part=None, where=None, b=b):
                 t, gram, context, place = anchors_of(part, length)
                 at = np.array(where, np.int64)[t]
-                return pd.DataFrame(
-                    {"gram": gram, "context": context, "doc": b["doc"].to_numpy()[at], "fold": b["fold"].to_numpy()[at], "place": place}
-                )
+                doc, fold = b["doc"].to_numpy()[at], b["fold"].to_numpy()[at]
+                times = _combine(gram, context, doc, place)
+                return pd.DataFrame({"gram": gram, "context": context, "doc": doc, "fold": fold, "place": place, "times": times})
 
             for i, t in enumerate(b["_text"]):
                 if t is None or len(t) * 4 < length:
@@ -144,7 +158,7 @@ def anchor_rows(documents: DataFrame, key: str, text: str, length: int) -> DataF
             if part:
                 yield rows(part, where)
 
-    return _keyed(documents, key, text).mapInPandas(run, "gram long, context long, doc long, fold int, place long")
+    return _keyed(documents, key, text).mapInPandas(run, "gram long, context long, doc long, fold int, place long, times int")
 
 
 def sorted_anchors(rows: DataFrame) -> DataFrame:
@@ -152,16 +166,16 @@ def sorted_anchors(rows: DataFrame) -> DataFrame:
     ``ask`` (to be compared), ``lend`` (the copy of a repeated context that others are compared
     with) and ``crowd``. All windows share one exchange by gram."""
     by_gram, by_context = Window.partitionBy("gram"), Window.partitionBy("gram", "context")
-    n = rows.withColumn("n", F.count(F.lit(1)).over(by_gram)).where("n > 1")
-    n = n.withColumn("m", F.count(F.lit(1)).over(by_context))
-    n = n.withColumn("k", F.row_number().over(by_context.orderBy("doc", "fold", "place")))
+    n = rows.withColumn("n", F.sum("times").over(by_gram)).where("n > 1 OR times = 0")
+    n = n.withColumn("m", F.sum("times").over(by_context))
+    n = n.withColumn("k", F.row_number().over(by_context.orderBy(F.desc("times"), "doc", "fold", "place")))
     n = n.withColumn("single", F.sum((F.col("m") == 1).cast("int")).over(by_gram))
     n = n.withColumn("kinds", F.sum((F.col("k") == 1).cast("int")).over(by_gram))
-    ask = (F.col("m") == 1) & (F.col("kinds") > 1)
-    lend = (F.col("m") > 1) & (F.col("k") == 1) & (F.col("single") > 0)
-    return n.select(
-        "gram", "doc", "fold", "place", (F.col("m") > 1).alias("whole"), ask.alias("ask"), lend.alias("lend"), (F.col("kinds") > CROWD).alias("crowd")
-    )
+    there = F.col("times") > 0
+    ask = there & (F.col("m") == 1) & (F.col("kinds") > 1)
+    lend = there & (F.col("m") > 1) & (F.col("k") == 1) & (F.col("single") > 0)
+    whole = ~there | (F.col("m") > 1)
+    return n.select("gram", "doc", "fold", "place", whole.alias("whole"), ask.alias("ask"), lend.alias("lend"), (F.col("kinds") > CROWD).alias("crowd"))
 
 
 def packed_texts(documents: DataFrame, key: str, text: str) -> DataFrame:
