@@ -36,7 +36,7 @@ from tidelog.llm.components import components
 SHINGLE = 4
 PERCENT = 85
 SAMPLED = 5  # one token in so many, by hash, tells which documents can link
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 def text_words(text: str | None) -> list[bytes]:

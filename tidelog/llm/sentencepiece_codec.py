@@ -21,7 +21,7 @@ from tidelog.llm.piece_bpe import LONG_SEGMENT, SPACE, PieceVocab, code_points,
 
 NONE = np.int32(2**31 - 1)
 LEARN_CHARS = 1 << 20
-REMEMBERED = 1 << 20  # segments that a worker keeps; beyond it, the memory is emptied
+REMEMBERED = 1 << 19  # segments that a worker keeps; beyond it, the memory is emptied
 
 
 class MergeRounds:

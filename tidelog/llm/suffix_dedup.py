@@ -33,7 +33,7 @@ from tidelog.llm.common import stash
 LENGTH = 200
 GRAM = 40
 CROWD = 2000  # contexts of one gram beyond which its strings are counted one by one
-FLAT_BYTES = 1 << 22  # bytes that are hashed or sorted at a time, whole documents or groups
+FLAT_BYTES = 1 << 20  # bytes that are hashed or sorted at a time, whole documents or groups
 BASE, BASE2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 #: A place packs the first start, the anchor's distance from it and the number of starts.
 SPAN_BITS, OFF_BITS = 8, 8
