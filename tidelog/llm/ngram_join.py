@@ -253,13 +253,16 @@ def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", s
     sizes, groups = similar_groups(documents, key, text, size, percent)
     least = sizes.join(groups, F.col("same") == F.col("node"), "left").withColumn("least", F.coalesce("component", "same"))
     gone = stash(least.where(F.col("doc") != F.col("least")).select(F.col("doc").alias("_gone")), "gone")
-    kept = documents.join(hinted(gone), F.col(key).cast("long") == F.col("_gone"), "left_anti")
-    again = stash(kept.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_again")).count().where("count > 1"), "repeated-ids")
+    rows = documents.select(F.struct("*").alias("_row"))  # so that no column's name can clash
+    id_, text_ = F.col("_row")[key], F.col("_row")[text]
+    kept = rows.join(hinted(gone), id_.cast("long") == F.col("_gone"), "left_anti")
+    again = kept.where(id_.isNotNull()).groupBy(id_.alias("_again")).agg(F.count(F.lit(1)).alias("_times"))
+    again = stash(again.where("_times > 1").select("_again"), "repeated-ids")
     if again.isEmpty():
-        return kept
-    doubled = kept.join(again.select("_again"), F.col(key) == F.col("_again"), "left_semi")
-    first = doubled.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(text))).where("_k = 1").drop("_k")
-    return kept.join(again.select("_again"), F.col(key) == F.col("_again"), "left_anti").union(first)
+        return kept.select("_row.*")
+    doubled = kept.join(again, id_ == F.col("_again"), "left_semi")
+    first = doubled.withColumn("_k", F.row_number().over(Window.partitionBy(id_).orderBy(text_))).where("_k = 1").drop("_k")
+    return kept.join(again, id_ == F.col("_again"), "left_anti").union(first).select("_row.*")
 
 
 JOIN_SQL = rf"""

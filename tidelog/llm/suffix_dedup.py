@@ -488,9 +488,11 @@ def cut_documents(documents: DataFrame, key: str = "doc_id", text: str = "text",
                 out.append(_kept(data, *removed_runs(len(data), f, length)).decode("utf-8", "ignore"))
             yield pd.Series(out, dtype=object)
 
-    here = (F.coalesce(F.col(key).cast("long"), F.lit(0)) == F.col("_doc")) & (F.hash(F.col(key).isNull(), F.col(text)) == F.col("_fold"))
-    joined = documents.join(runs, here, "left").withColumn(text, cut(F.col(text), F.col("_runs")))
-    return joined.select(*documents.columns)
+    rows = documents.select(F.struct("*").alias("_row"))  # so that no column's name can clash
+    id_, text_ = F.col("_row")[key], F.col("_row")[text]
+    here = (F.coalesce(id_.cast("long"), F.lit(0)) == F.col("_doc")) & (F.hash(id_.isNull(), text_) == F.col("_fold"))
+    joined = rows.join(runs, here, "left").withColumn("_cut", cut(text_, F.col("_runs")))
+    return joined.select(*[(F.col("_cut") if c == text else F.col("_row")[c]).alias(c) for c in documents.columns])
 
 
 DEDUP_SQL = rf"""
