@@ -59,3 +59,16 @@ def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count finds at most ``rows`` rows, which must be narrow and
     already written; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+BATCH_ROWS = 1000
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, after making sure that at most BATCH_ROWS of its texts go to Python in one Arrow batch.
+    Each batch is held by the executor's JVM and its worker at once, and Spark's 10,000 rows of text
+    are tens of MB in each. A smaller setting of the session stays."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import bounded_batches
+
 BUCKETS = 1 << 15
 GRAM_SIZES = (1, 2, 3, 4)
 SAMPLE_ROWS = 3000  # expected number of rows that the weights are fitted on
@@ -176,7 +178,7 @@ def train(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
     """Learn from the rows that are not held out and have a label and a text. Without such rows the
     model knows no language and predicts ``und``."""
     usable = F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key))
-    training = documents.where(usable).select(F.col(key).alias(key), F.col(text).alias(text), F.col(label).alias(label))
+    training = bounded_batches(documents).where(usable).select(F.col(key).alias(key), F.col(text).alias(text), F.col(label).alias(label))
     df, rows = document_frequencies(training, text)
     idf = np.log((1.0 + rows) / (1.0 + df)) + 1.0
     vectors = sample_vectors(training, rows, text, label, key)
@@ -202,7 +204,7 @@ def with_language(documents: DataFrame, model: LanguageModel, text: str = "text"
         for batch in texts:
             yield pd.DataFrame([known.predict(t) for t in batch], columns=["lang_pred", "score"])
 
-    scored = documents.withColumn("_predicted", predict(F.col(text)))
+    scored = bounded_batches(documents).withColumn("_predicted", predict(F.col(text)))
     return scored.withColumn("lang_pred", F.col("_predicted.lang_pred")).withColumn("score", F.col("_predicted.score")).drop("_predicted")
 
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import hinted, stash
+from tidelog.llm.common import bounded_batches, hinted, stash
 from tidelog.llm.components import components
 
 SHINGLE = 4
@@ -101,7 +101,7 @@ def sampled_rows(documents: DataFrame, key: str, text: str, size: int) -> DataFr
             own.insert(0, "token", pd.array([None] * len(own), dtype="Int64"))
             yield own
 
-    rows = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_doc"), F.col(text).alias("_text"))
+    rows = bounded_batches(documents).where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_doc"), F.col(text).alias("_text"))
     return rows.mapInPandas(run, "token long, doc long, n long, s long, h1 long, h2 long")
 
 

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import bounded_batches
 from tidelog.llm.piece_bpe import LONG_SEGMENT, SPACE, PieceVocab, code_points, default_model, vocabulary
 
 NONE = np.int32(2**31 - 1)
@@ -246,7 +247,7 @@ def encode_column(documents: DataFrame, text: str = "text", ids: str = "ids", mo
         for batch in texts:
             yield pd.Series(list(coder.encode_many(batch)))
 
-    return documents.withColumn(ids, encode(F.col(text)))
+    return bounded_batches(documents).withColumn(ids, encode(F.col(text)))
 
 
 def decode_column(encoded: DataFrame, ids: str = "ids", text: str = "decoded", model_path: str | None = None) -> DataFrame:
@@ -259,7 +260,7 @@ def decode_column(encoded: DataFrame, ids: str = "ids", text: str = "decoded", m
         for batch in values:
             yield pd.Series([coder.decode([] if v is None else v) for v in batch])
 
-    return encoded.withColumn(text, decode(F.col(ids)))
+    return bounded_batches(encoded).withColumn(text, decode(F.col(ids)))
 
 
 def digests(documents: DataFrame, key: str = "doc_id", text: str = "text", model_path: str | None = None) -> DataFrame:
@@ -282,5 +283,5 @@ def digests(documents: DataFrame, key: str = "doc_id", text: str = "text", model
                 of_text.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
             yield pd.DataFrame({key: batch["_key"].array, "n_tokens": counts, "ids_sha256": of_ids, "decoded_sha256": of_text})
 
-    rows = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    rows = bounded_batches(documents).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     return rows.mapInPandas(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

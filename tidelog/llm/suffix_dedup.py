@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import stash
+from tidelog.llm.common import bounded_batches, stash
 
 LENGTH = 200
 GRAM = 40
@@ -124,7 +124,7 @@ def _combine(gram: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.n
 
 def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
     """doc and fold: together they tell apart rows that share an id, or have none, by their texts."""
-    return documents.select(
+    return bounded_batches(documents).select(
         F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("doc"),
         F.hash(F.col(key).isNull(), F.col(text)).alias("fold"),
         F.col(key).isNull().alias("missing"),

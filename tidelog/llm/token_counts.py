@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import bounded_batches
 from tidelog.llm.piece_bpe import LONG_SEGMENT, SPACE, PieceVocab, code_points, default_model, vocabulary
 
 UNMADE = -1
@@ -191,7 +192,7 @@ def count_tokens(
         for b in batches:
             yield pd.DataFrame({key: b["_key"].array, "n_bytes": b["_bytes"].array, "n_tokens": machine.count_many(b["_text"])})
 
-    rows = documents.select(
+    rows = bounded_batches(documents).select(
         F.col(key).alias("_key"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("_bytes"),
         F.col(text).alias("_text"),
