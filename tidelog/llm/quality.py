@@ -17,7 +17,7 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 HOST_LIMIT = 0.5  # a host fails where its shrunk rate of failures is over this
-WEAKEST_PRIOR, STRONGEST_PRIOR = 2.0, 1e6  # bounds of the prior's weight, in documents
+WEAKEST_PRIOR, STRONGEST_PRIOR = 10.0, 1e6  # bounds of the prior's weight, in documents
 
 
 def measures(documents: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
