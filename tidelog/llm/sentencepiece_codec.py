@@ -282,6 +282,7 @@ def digests(documents: DataFrame, key: str = "doc_id", text: str = "text", model
                 of_ids.append(hashlib.sha256(",".join(names[ids]).encode()).hexdigest())
                 of_text.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
             yield pd.DataFrame({key: batch["_key"].array, "n_tokens": counts, "ids_sha256": of_ids, "decoded_sha256": of_text})
+        coder.memory = {}  # the worker goes on to other tasks
 
     rows = bounded_batches(documents).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     return rows.mapInPandas(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
