@@ -20,8 +20,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a fresh temporary
     folder only where that is unset and everything runs on one machine, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    own = f"tidelog-{spark.sparkContext.applicationId}"
     if named:
-        return named
+        return f"{named}/{own}"
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")

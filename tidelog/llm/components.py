@@ -16,6 +16,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         both = edges
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("u", "m").alias("m"))
+    least = stash(least, "least")  # a written side lets Spark split the other where a node has many neighbours
     joined = both.join(least, F.col("u") == F.col("_u"))
     if large:
         moved = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))

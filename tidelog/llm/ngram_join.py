@@ -37,6 +37,8 @@ SHINGLE = 4
 PERCENT = 85
 SAMPLED = 5  # one token in so many, by hash, tells which documents can link
 REMEMBERED = 1 << 18
+COMMON, COMMON_MOST = 0.01, 1_000_000
+EVERYWHERE = 1 << 40  # stands for the count of a common token
 
 
 def text_words(text: str | None) -> list[bytes]:
@@ -82,64 +84,93 @@ def slack(n, percent: int):
 
 
 def sampled_rows(documents: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """Rows (token, doc) for the sampled tokens, and one row without token for each document, which
-    has n, s (sampled tokens) and 128 bits of hash of its set."""
+    """Rows (token, doc, times) for the sampled tokens, and one row without token for each document,
+    with n, s (sampled tokens), ``known`` and 128 bits of hash of its set. A token that several
+    documents of a batch have is known to be shared: it is counted in ``known``, and one row
+    without document stands for all, so that a token that is everywhere has a row for each batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = ShingleHashes(size)
         for b in batches:
-            tokens, docs, rows = [], [], []
-            for d, t in zip(b["_doc"], b["_text"], strict=True):
-                x = hashes(t)
-                chosen = x[x % np.uint64(SAMPLED) == 0]
-                digest = xxhash.xxh3_128_digest(x.tobytes())
-                rows.append((d, len(x), len(chosen), *np.frombuffer(digest, np.int64).tolist()))
-                tokens.append(chosen.view(np.int64))
-                docs.append(np.full(len(chosen), d, np.int64))
-            yield pd.DataFrame({"token": np.concatenate(tokens), "doc": np.concatenate(docs), "n": 0, "s": 0, "h1": 0, "h2": 0})
-            own = pd.DataFrame(rows, columns=["doc", "n", "s", "h1", "h2"])
-            own.insert(0, "token", pd.array([None] * len(own), dtype="Int64"))
-            yield own
+            sets = [hashes(t) for t in b["_text"]]
+            chosen = [x[x % np.uint64(SAMPLED) == 0] for x in sets]
+            lengths = np.array([len(x) for x in chosen], np.int64)
+            docs = b["_doc"].to_numpy()
+            token, back, times = np.unique(np.concatenate(chosen).view(np.int64), return_inverse=True, return_counts=True)
+            shared = times[back] > 1
+            known = np.add.reduceat(np.r_[shared, False].astype(np.int64), np.cumsum(lengths) - lengths) * (lengths > 0)
+            alone = token[back[~shared]], np.repeat(docs, lengths)[~shared]
+            yield pd.DataFrame({"token": alone[0], "doc": alone[1], "times": 1, "n": 0, "s": 0, "known": 0, "h1": 0, "h2": 0})
+            many = times > 1
+            none = pd.array([None] * int(many.sum()), dtype="Int64")
+            yield pd.DataFrame({"token": token[many], "doc": none, "times": times[many], "n": 0, "s": 0, "known": 0, "h1": 0, "h2": 0})
+            digests = np.array([np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), np.int64) for x in sets])
+            none = pd.array([None] * len(sets), dtype="Int64")
+            n = [len(x) for x in sets]
+            yield pd.DataFrame({"token": none, "doc": docs, "times": 0, "n": n, "s": lengths, "known": known, "h1": digests[:, 0], "h2": digests[:, 1]})
 
     rows = bounded_batches(documents).where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_doc"), F.col(text).alias("_text"))
-    return rows.mapInPandas(run, "token long, doc long, n long, s long, h1 long, h2 long")
+    return rows.mapInPandas(run, "token long, doc long, times long, n long, s long, known long, h1 long, h2 long")
 
 
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
     """Per document: n, ``same`` (the least document of an equal set) and ``open``, whether it can link
     to a different set. Where ids repeat, the larger set counts."""
-    spread = rows.withColumn("df", F.when(F.col("token").isNotNull(), F.count("token").over(Window.partitionBy("token"))))
-    docs = spread.groupBy("doc").agg(
-        *[F.max(c).alias(c) for c in ("n", "s")],
+    spread = rows.withColumn("df", F.when(F.col("token").isNotNull(), F.sum("times").over(Window.partitionBy("token"))))
+    docs = spread.where(F.col("doc").isNotNull()).groupBy("doc").agg(
+        *[F.max(c).alias(c) for c in ("n", "s", "known")],
         F.max(F.struct("n", "h1", "h2")).alias("h"),
         F.sum((F.col("df") > 1).cast("long")).alias("shared"),
     )
-    same = F.min("doc").over(Window.partitionBy("h"))
-    enough = F.coalesce("shared", F.lit(0)) >= F.col("s") - slack(F.col("n"), percent)
-    return docs.select("doc", "n", F.when(F.col("n") > 0, same).otherwise(F.col("doc")).alias("same"), (enough & (F.col("n") > 0)).alias("open"))
+    least = docs.where("n > 0").groupBy("h").agg(F.min("doc").alias("_same"), F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    docs = stash(docs, "sampled-sets")
+    enough = F.coalesce("shared", F.lit(0)) + F.col("known") >= F.col("s") - slack(F.col("n"), percent)
+    joined = docs.join(stash(least.select("h", "_same"), "equal-sets"), "h", "left")
+    return joined.select("doc", "n", F.coalesce("_same", "doc").alias("same"), (enough & (F.col("n") > 0)).alias("open"))
 
 
-def all_rows(texts: DataFrame, size: int) -> DataFrame:
-    """Rows (token, doc, n) for all tokens; n is 0 but in the first row of each document."""
+def common_tokens(texts: DataFrame, size: int) -> np.ndarray:
+    """Tokens that at least a share COMMON of the documents have, as far as batches show it: a sorted
+    array of at most (tokens per document) / COMMON, and at most COMMON_MOST, the most common ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = ShingleHashes(size)
+        for b in batches:
+            token, times = np.unique(np.concatenate([hashes(t) for t in b["text"]]).view(np.int64), return_counts=True)
+            often = times >= max(2, COMMON * len(b) / 2)
+            yield pd.DataFrame({"token": token[often], "times": times[often]})
+
+    counts = bounded_batches(texts).mapInPandas(run, "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+    often = counts.where(F.col("times") >= F.lit(max(2, COMMON * texts.count())))
+    return np.array(sorted(r["token"] for r in often.orderBy(F.desc("times")).limit(COMMON_MOST).collect()), np.int64)
+
+
+def all_rows(texts: DataFrame, size: int, common: np.ndarray) -> DataFrame:
+    """Rows (token, salt, doc, n) for all tokens; n is 0 but in the first row of each document. For the
+    common tokens the salt is the document, else 0."""
+    shared = texts.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, often = ShingleHashes(size), shared.value
         for b in batches:
             sets = [hashes(t) for t in b["text"]]
             lengths = np.array([len(x) for x in sets], np.int64)
             n = np.zeros(int(lengths.sum()), np.int64)
             filled = lengths > 0
             n[(np.cumsum(lengths) - lengths)[filled]] = lengths[filled]
-            token = np.concatenate(sets).view(np.int64)
-            yield pd.DataFrame({"token": token, "doc": np.repeat(b["doc"].to_numpy(), lengths), "n": n})
+            token, doc = np.concatenate(sets).view(np.int64), np.repeat(b["doc"].to_numpy(), lengths)
+            yield pd.DataFrame({"token": token, "salt": np.where(np.isin(token, often), doc, -1), "doc": doc, "n": n})
 
-    return texts.mapInPandas(run, "token long, doc long, n long")
+    return bounded_batches(texts).mapInPandas(run, "token long, salt long, doc long, n long")
 
 
 def ordered_tokens(rows: DataFrame, percent: int) -> DataFrame:
-    """Per document that can link: n, own (tokens that no other has) and ``shared`` (the others, as
+    """Common tokens come last in the order, as their rows are not gathered for a count.
+
+    Per document that can link: n, own (tokens that no other has) and ``shared`` (the others, as
     struct(df, token), rarest first)."""
-    spread = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    count = F.count(F.lit(1)).over(Window.partitionBy("token", "salt"))
+    spread = rows.withColumn("df", F.when(F.col("salt") == -1, count).otherwise(F.lit(EVERYWHERE)))
     kept = spread.where((F.col("df") > 1) | (F.col("n") > 0))
     docs = kept.groupBy("doc").agg(
         F.max("n").alias("n"), F.array_sort(F.collect_set(F.when(F.col("df") > 1, F.struct("df", "token")))).alias("shared")
@@ -193,10 +224,11 @@ def similar_groups(
     chosen = stash(sizes.where(F.col("open") & (F.col("doc") == F.col("same"))).select("doc"), "candidates")
     texts = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     texts = stash(texts.join(hinted(chosen), "doc", "left_semi"), "candidate-texts")
-    docs = stash(ordered_tokens(all_rows(texts, size), percent), "candidate-sets")
+    docs = stash(ordered_tokens(all_rows(texts, size, common_tokens(texts, size)), percent), "candidate-sets")
     blocks = stash(block_rows(docs, percent), "blocks")
     leads = blocks.groupBy("token").agg(F.min(F.struct("share", "doc", "n", "reach")).alias("lead"), F.count(F.lit(1)).alias("members"))
     leads = leads.where("members > 1").select("token", F.col("lead.doc").alias("b"), F.col("lead.n").alias("_n"), F.col("lead.reach").alias("_reach"))
+    leads = stash(leads, "leaders")  # a written side lets Spark split the other where a token has many rows
     led = blocks.join(leads, "token").where((F.col("doc") != F.col("b")) & _fits("reach", "n", "_reach", "_n"))
     pairs = stash(led.select(F.col("doc").alias("a"), "b").distinct(), "leader-pairs")
     links = stash(verified(pairs, texts, size, percent), "links")
@@ -212,12 +244,12 @@ def later_pairs(docs: DataFrame, blocks: DataFrame, groups: DataFrame, done: Dat
     placed = blocks.join(groups, F.col("doc") == F.col("node"), "left").withColumn("group", F.coalesce("component", "doc"))
     placed = stash(placed.select("token", "doc", "n", "reach", "group"), "placed")
     mixed = placed.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high"))
-    mixed = mixed.where(F.col("_low") != F.col("_high")).select("token")
+    mixed = stash(mixed.where(F.col("_low") != F.col("_high")).select("token"), "mixed-tokens")
     inside = placed.join(mixed, "token", "left_semi")
     extent = placed.groupBy("group").agg(F.count_distinct("doc").alias("extent"))
-    sized = stash(inside.join(extent, "group"), "mixed-blocks")
+    sized = stash(inside.join(stash(extent, "extents"), "group"), "mixed-blocks")
     parts = sized.groupBy("token", "group", "extent").agg(F.min("n").alias("least"), F.max("reach").alias("most"))
-    parts = parts.select("token", F.col("group").alias("other"), F.col("extent").alias("o_extent"), "least", "most")
+    parts = stash(parts.select("token", F.col("group").alias("other"), F.col("extent").alias("o_extent"), "least", "most"), "parts")
     smaller = F.struct("extent", "group") < F.struct(F.col("o_extent").alias("extent"), F.col("other").alias("group"))
     asks = sized.join(parts, "token").where(smaller & _fits("reach", "n", "most", "least"))
     asks = stash(asks.select("doc", "other").distinct(), "queries")
