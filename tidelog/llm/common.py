@@ -20,14 +20,10 @@ def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a fresh temporary
     folder only where that is unset and everything runs on one machine, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    own = f"tidelog-{spark.sparkContext.applicationId}"
     if named:
-        return f"{named}/{own}"
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+        return f"{named}/tidelog-{spark.sparkContext.applicationId}"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    if master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir before starting a local cluster")
     if not hasattr(spark.sparkContext, "_tidelog_scratch"):
         spark.sparkContext._tidelog_scratch = tempfile.mkdtemp(prefix="tidelog-")
     return spark.sparkContext._tidelog_scratch
