@@ -116,7 +116,8 @@ def sampled_rows(documents: DataFrame, key: str, text: str, size: int) -> DataFr
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
     """Per document: n, ``same`` (the least document of an equal set) and ``open``, whether it can link
     to a different set. Where ids repeat, the larger set counts."""
-    spread = rows.withColumn("df", F.when(F.col("token").isNotNull(), F.sum("times").over(Window.partitionBy("token"))))
+    apart = F.when(F.col("token").isNull(), F.col("doc"))  # rows without token are not to meet in one task
+    spread = rows.withColumn("df", F.when(F.col("token").isNotNull(), F.sum("times").over(Window.partitionBy("token", apart))))
     docs = spread.where(F.col("doc").isNotNull()).groupBy("doc").agg(
         *[F.max(c).alias(c) for c in ("n", "s", "known")],
         F.max(F.struct("n", "h1", "h2")).alias("h"),
@@ -147,7 +148,7 @@ def common_tokens(texts: DataFrame, size: int) -> np.ndarray:
 
 def all_rows(texts: DataFrame, size: int, common: np.ndarray) -> DataFrame:
     """Rows (token, salt, doc, n) for all tokens; n is 0 but in the first row of each document. For the
-    common tokens the salt is the document, else 0."""
+    common tokens the salt is the document, else -1."""
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,10 +166,9 @@ def all_rows(texts: DataFrame, size: int, common: np.ndarray) -> DataFrame:
 
 
 def ordered_tokens(rows: DataFrame, percent: int) -> DataFrame:
-    """Common tokens come last in the order, as their rows are not gathered for a count.
-
-    Per document that can link: n, own (tokens that no other has) and ``shared`` (the others, as
-    struct(df, token), rarest first)."""
+    """Per document that can link: n, own (tokens that no other has) and ``shared`` (the others, as
+    struct(df, token), rarest first). Common tokens come last, as their rows are not gathered for a
+    count."""
     count = F.count(F.lit(1)).over(Window.partitionBy("token", "salt"))
     spread = rows.withColumn("df", F.when(F.col("salt") == -1, count).otherwise(F.lit(EVERYWHERE)))
     kept = spread.where((F.col("df") > 1) | (F.col("n") > 0))
