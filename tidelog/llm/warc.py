@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import scratch_dir
+from tidelog.llm.common import hinted, scratch_dir, stash
 
 RECORDS_PER_ARCHIVE = 1000
 REVISIT_BYTES = 100
@@ -133,11 +133,13 @@ def convert_arc(archives: DataFrame) -> DataFrame:
 def with_record_types(records: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     """Add ``refers_to``: for a payload of at least ``least`` bytes, the smallest page id that has
     it, where that is smaller than the record's own; else null. Rows that repeat the smallest id
-    are all responses, and so are rows without an id. The first ids are combined before the
-    shuffle, and the join back lets Spark split a payload that many pages share."""
+    are all responses, and so are rows without an id. The first ids are combined before their
+    shuffle; of payloads that occur once nothing is kept. The join back is by a checked broadcast, or
+    one whose skew Spark can split, since its other side is a written table."""
     large = F.octet_length("payload") >= least
-    first = records.where(large).groupBy("digest").agg(F.min("page_id").alias("_first"))
-    joined = records.join(first.where(F.col("_first").isNotNull()), "digest", "left")
+    first = records.where(large).groupBy("digest").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    first = stash(first.where((F.col("_n") > 1) & F.col("_first").isNotNull()).select("digest", "_first"), "repeated-payloads")
+    joined = records.join(hinted(first), "digest", "left")
     again = large & (F.col("page_id") > F.col("_first"))
     return joined.withColumn("refers_to", F.when(again, F.col("_first"))).drop("_first")
 
