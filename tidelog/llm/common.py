@@ -49,12 +49,12 @@ def space_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SEPARATOR), lambda w: w != "")
 
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 
 
 def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if a count finds at most ``rows`` rows, which must be narrow and
-    already written; else as it is, for a shuffled join."""
+    """``df``, a written table, with a broadcast hint if a count finds at most ``rows`` rows; else as
+    it is, for a shuffled join. The default is for rows of a few numbers or one short string."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 

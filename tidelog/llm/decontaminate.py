@@ -22,6 +22,7 @@ WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: A document is contaminated if at least one word in so many is in an occurring window.
 ONE_IN = 20
+WIDE_ROWS = 20_000  # items, with their words, that are broadcast
 
 
 def plain_words(text: Column) -> Column:
@@ -80,7 +81,7 @@ def alignments(index: DataFrame, wins: DataFrame) -> DataFrame:
     met = index.join(hinted(numbered), "term").select("_id", "_hash", "_item", (F.col("pos") - F.col("at")).alias("shift"), "at")
     grouped = met.groupBy("_id", "_hash", "_item", "shift").agg(F.collect_set("at").alias("ats"))
     keyed = needs.withColumn("_item", F.xxhash64("item", "words"))
-    joined = grouped.join(hinted(keyed), "_item")
+    joined = grouped.join(hinted(keyed, WIDE_ROWS), "_item")
     both = F.exists("needs", lambda need: F.size(F.array_except(need, F.col("ats"))) == 0)
     return joined.where(both).select("_id", "_hash", "item", F.col("words").alias("item_words"), "length", "shift")
 

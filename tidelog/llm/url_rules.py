@@ -25,6 +25,7 @@ GIVEN_RULES = (
 MIN_SUPPORT = 0.01
 MIN_PAGES = 10  # and at least so many pages
 MIN_CONFIDENCE = 0.6
+WIDE_ROWS = 50_000  # sets of tokens that are broadcast
 BLOCKED, ALLOWED = "=block", "=allow"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 QUERY_PART = r"(?s)\?([^#]*)"
@@ -123,7 +124,7 @@ def judge_urls(
     mined = match_rules(tokens, mine_rules(labelled(tokens, labels), min_support, min_confidence))
     given = given_rule(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("mined_rule").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
-    judged = tokens.join(hinted(stash(mined, "url-matches")), "tokens", "left").withColumn("_given", given)
+    judged = tokens.join(hinted(stash(mined, "url-matches"), WIDE_ROWS), "tokens", "left").withColumn("_given", given)
     return judged.select(
         "page_id",
         "host",
