@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,23 +34,40 @@ from tidelog.llm.common import bounded_batches, stash
 LENGTH = 200
 GRAM = 40
 CROWD = 2000  # contexts of one gram beyond which its strings are counted one by one
-FLAT_BYTES = 1 << 20  # bytes that are hashed or sorted at a time, whole documents or groups
+FLAT_BYTES = 1 << 19  # bytes that are hashed or sorted at a time, whole documents or groups
 BASE, BASE2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 #: A place packs the first start, the anchor's distance from it and the number of starts.
 SPAN_BITS, OFF_BITS = 8, 8
 
 
+def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    tables = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        t = np.full(n + 1, x, np.uint64)
+        t[0] = 1
+        tables.append(np.multiply.accumulate(t))
+    return tables[0], tables[1]
+
+
+@lru_cache(maxsize=4)
+def _kept_tables(base: int) -> tuple[np.ndarray, np.ndarray]:
+    return _power_tables(base, 2 * FLAT_BYTES)
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to n of a base and of its inverse, modulo 2^64; longer tables are not kept."""
+    up, down = _kept_tables(base)
+    if n >= len(up):
+        return _power_tables(base, n)
+    return up[: n + 1], down[: n + 1]
+
+
 class PrefixHashes:
     """Polynomial hashes of all substrings of a byte array, modulo 2^64."""
 
     def __init__(self, data: np.ndarray, base: int = BASE):
         n = len(data)
-        power = np.full(n + 1, base, np.uint64)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
-        inverse = np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
-        inverse[0] = 1
-        self.inverse = np.multiply.accumulate(inverse)
+        power, self.inverse = powers(base, n)
         spread = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) ^ np.uint64(base >> 7)
         spread = (spread ^ (spread >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         self.prefix = np.zeros(n + 1, np.uint64)
