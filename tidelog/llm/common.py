@@ -31,10 +31,11 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back, which cuts the lineage and
-    survives the loss of any executor."""
+    survives the loss of any executor. The compression is the session's: Zstandard would hold native
+    memory for each open column of each writer and reader, beside the executor's heap."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
