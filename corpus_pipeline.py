@@ -1,7 +1,7 @@
 """A corpus pipeline over ``documents``: each stage reads what its predecessor wrote.
 
 1. language_id: texts without a language (``und``) or below MIN_SCORE go.
-2. ngram_join: one document of each group of near duplicates stays.
+2. ngram_join: one document of each group of near duplicates (word shingles of NEAR_SIZE, NEAR_PERCENT) stays.
 3. suffix_dedup: bytes of strings of 200 bytes that repeat anywhere are cut out of the texts.
 4. decontamination: documents contaminated by the benchmark go.
 5. sentencepiece: what is left is encoded and decoded.
@@ -16,6 +16,8 @@ from tidelog.llm import decontaminate, language, ngram_join, sentencepiece_codec
 from tidelog.llm.common import stash, table
 
 MIN_SCORE = 0.4
+#: The stage's own values; op5's contract binds its query only.
+NEAR_SIZE, NEAR_PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, size=NEAR_SIZE, percent=NEAR_PERCENT)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

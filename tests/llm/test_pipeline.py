@@ -1,11 +1,13 @@
 import hashlib
 
 import duckdb
+import pytest
 
 import corpus_pipeline
 from tidelog.llm import decontaminate, ngram_join, suffix_dedup
 
 from .conftest import TEXTS
+from .test_duplicates import DOCS, brute_components, family_rows
 
 
 def test_stages_by_brute_force(spark, sf_dir, pieces):
@@ -61,3 +63,12 @@ def test_odd_and_empty_tables(spark, sf_dir, odd_documents, no_documents):
             assert out.columns == docs.columns
             assert out.count() <= len(TEXTS)
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_copies_of_five_words_and_four_fifths_go(spark, seed):
+    rows = family_rows(seed, 9)
+    roots = lambda size, percent: {d for d, (_, root) in brute_components(rows, size, percent).items() if d == root}
+    assert roots(5, 80) != roots(4, 85)
+    stage = dict(corpus_pipeline.STAGES)["ngram_join"]
+    assert {r.doc_id for r in stage(spark, spark.createDataFrame(rows, DOCS), "").collect()} == roots(5, 80)
