@@ -52,6 +52,16 @@ def test_mined_rules_block_what_the_labels_show(spark):
     assert all("h:spam" not in r.tokens or len(r.tokens) == 1 for r in rules)  # the wider ones are redundant
 
 
+@pytest.mark.parametrize("others", [100, 2000])
+def test_the_same_evidence_gives_the_same_rule_at_every_size(spark, others):
+    urls = [f"http://rare.net/{i}" for i in range(12)] + [f"http://h{i % 7}.org/{i}" for i in range(others)]
+    labels = spark.createDataFrame([(i, 0 if i < 12 else 1, None) for i in range(len(urls))], LABELS)
+    got = {r.page_id for r in url_rules.judge_urls(pages(spark, *urls), labels).collect() if r.verdict == "block"}
+    assert got == set(range(12))
+    asked = url_rules.judge_urls(pages(spark, *urls), labels, url_rules.MIN_SUPPORT)  # as op2's query
+    assert asked.where("verdict = 'block'").count() == (12 if others == 100 else 0)
+
+
 def test_repeated_and_empty_pages(spark):
     labels = spark.createDataFrame([(0, 0, 1), (0, 1, 0), (None, 0, 0)], LABELS)
     two = pages(spark, "http://x.com/").union(pages(spark, "http://x.com/"))

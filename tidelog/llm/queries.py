@@ -16,7 +16,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_rules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), url_rules.MIN_SUPPORT)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,8 +22,8 @@ GIVEN_RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-MIN_SUPPORT = 0.01
-MIN_PAGES = 10  # and at least so many pages
+MIN_PAGES = 10  # of the blocking class, at every size of the table
+MIN_SUPPORT = 0.01  # of all labelled pages besides, for op2's query as its SQL has it
 MIN_CONFIDENCE = 0.6
 WIDE_ROWS = 50_000  # sets of tokens that are broadcast
 BLOCKED, ALLOWED = "=block", "=allow"
@@ -64,11 +64,13 @@ def given_rule(host: Column, path: Column, rules=GIVEN_RULES) -> Column:
 
 
 def mine_rules(
-    transactions: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+    transactions: DataFrame, min_support: float = 0.0, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
     """Rules ``tokens`` -> blocked with support and confidence, from the column ``items`` (tokens and
-    the class). A rule goes if one with some of its tokens only is as confident. At most
-    ``tokens per URL / min_support`` items are frequent, which bounds the itemsets."""
+    the class). A rule needs MIN_PAGES blocked pages, so the same evidence gives the same rule at
+    every size; ``min_support`` above 0 asks for a share of all labelled pages too, which loses the
+    rules of rare tokens but leaves at most ``tokens per URL / min_support`` items frequent. A rule
+    goes if one with some of its tokens only is as confident."""
     spark = transactions.sparkSession
     schema = "tokens array<string>, confidence double, support double"
     n = transactions.count()
@@ -112,7 +114,7 @@ def match_rules(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge_urls(
-    pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, rules=GIVEN_RULES
+    pages: DataFrame, labels: DataFrame, min_support: float = 0.0, min_confidence: float = MIN_CONFIDENCE, rules=GIVEN_RULES
 ) -> DataFrame:
     """Per page: page_id, host, path, rule (the longest given one that fits, or null), verdict (its,
     else ``block`` if a mined rule applies, else ``allow``) and mined_rule. Null URLs and URLs
