@@ -51,12 +51,18 @@ def space_words(text: Column) -> Column:
 
 
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20  # of strings, binaries and arrays
 
 
 def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, a written table, with a broadcast hint if a count finds at most ``rows`` rows; else as
-    it is, for a shuffled join. The default is for rows of a few numbers or one short string."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df``, read from a written table, with a broadcast hint if it has at most ``rows`` rows and
+    BROADCAST_BYTES of values without a fixed size; else as it is, for a shuffled join. Counting
+    stops at the limit of rows."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    sizes += [8 * F.greatest(F.size(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema if f.dataType.typeName() == "array"]
+    wide = sum((s.cast("long") for s in sizes), F.lit(0).cast("long"))
+    n, held = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(wide)).first()
+    return F.broadcast(df) if n <= rows and (held or 0) <= BROADCAST_BYTES else df
 
 
 BATCH_ROWS = 1000
