@@ -1,9 +1,10 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Document frequencies are counted over all training rows. The weights are fitted by
-follow-the-regularised-leader with elastic-net penalties on a bounded sample of them
-(``SAMPLE_ROWS``), turned into sparse vectors by the executors, and the scores are calibrated by a
-temperature on a part of the sample that is kept aside. Every whole text is then scored.
+Languages and document frequencies are counted over all training rows. The weights are fitted by
+follow-the-regularised-leader with elastic-net penalties on a bounded sample of them (``SAMPLE_ROWS``,
+with ``LEAST_ROWS`` of each language, so that a rare one is learned at every size of the table),
+turned into sparse vectors by the executors, and the scores are calibrated by a temperature on a
+part of the sample that is kept aside. Every whole text is then scored.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from tidelog.llm.common import bounded_batches
 
 BUCKETS = 1 << 15
 GRAM_SIZES = (1, 2, 3, 4)
-SAMPLE_ROWS = 3000  # expected number of rows that the weights are fitted on
+SAMPLE_ROWS = 3000  # expected number of rows that the weights are fitted on, shared out by language
+LEAST_ROWS = 100  # expected number of rows of a language at least, if it has so many
 ASIDE = 5  # every so many rows of the sample calibrate
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
@@ -48,12 +50,14 @@ def gram_counts(text: str) -> np.ndarray:
         part = np.where((part < 128) & ~((part >= 97) & (part <= 122)), np.uint64(32), part)
         last = at + PIECE >= len(text)
         rolled = np.zeros(len(part), np.uint64)
+        found = []
         for size in range(1, max(GRAM_SIZES) + 1):
             rolled = rolled[: len(part) - size + 1] * np.uint64(0x100000001B3) + part[size - 1 :] if len(part) >= size else rolled[:0]
             if size in GRAM_SIZES and len(rolled):
                 own = rolled if last else rolled[:PIECE]
-                mixed = (own + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15)
-                counts += np.bincount((mixed >> np.uint64(49)).astype(np.int64), minlength=BUCKETS)
+                found.append(((own + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(49)).astype(np.int64))
+        if found:
+            counts += np.bincount(np.concatenate(found), minlength=BUCKETS)
     return counts
 
 
@@ -115,11 +119,25 @@ def document_frequencies(training: DataFrame, text: str = "text") -> tuple[np.nd
     return df, rows
 
 
-def sample_vectors(training: DataFrame, rows: int, text: str, label: str, key: str) -> list[tuple[str, np.ndarray, np.ndarray]]:
+def thresholds(counts: dict[str, int]) -> dict[str, int]:
+    """By language, the 63-bit hash up to which a row is drawn. A language's expected share of the
+    sample is its share of the rows, but LEAST_ROWS at least; all rows where it has fewer."""
+    rows = sum(counts.values())
+    wanted = {x: max(SAMPLE_ROWS * n / rows, LEAST_ROWS) for x, n in counts.items()}
+    return {x: (1 << 63) - 1 if wanted[x] >= n else int(wanted[x] / n * (1 << 63)) for x, n in counts.items()}
+
+
+def language_counts(training: DataFrame, label: str) -> dict[str, int]:
+    """Training rows by language; languages are taken to be few."""
+    return {r[0]: r[1] for r in training.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def sample_vectors(training: DataFrame, counts: dict[str, int], text: str, label: str, key: str) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Label, buckets and counts of a sample of about SAMPLE_ROWS rows, chosen by a hash of the key
     and in the order of another, so that it does not depend on the partitions."""
-    share = min(1.0, SAMPLE_ROWS / max(rows, 1))
-    drawn = training.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    limits = training.sparkSession.createDataFrame(list(thresholds(counts).items()), "_name string, _limit long")
+    drawn = training.join(F.broadcast(limits), F.col(label) == F.col("_name"))  # a row for each language
+    drawn = drawn.where(F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit("sample")), 1) <= F.col("_limit"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -181,7 +199,8 @@ def train(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
     training = bounded_batches(documents).where(usable).select(F.col(key).alias(key), F.col(text).alias(text), F.col(label).alias(label))
     df, rows = document_frequencies(training, text)
     idf = np.log((1.0 + rows) / (1.0 + df)) + 1.0
-    vectors = sample_vectors(training, rows, text, label, key)
+    counts = language_counts(training, label)
+    vectors = sample_vectors(training, counts, text, label, key) if counts else []
     languages = sorted({v[0] for v in vectors})
     if not languages:
         return LanguageModel([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
