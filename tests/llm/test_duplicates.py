@@ -1,7 +1,9 @@
 """Near duplicates, repeated strings and benchmark passages, against brute force."""
 
+import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,7 +11,7 @@ import pytest
 from tidelog.llm import decontaminate, ngram_join, suffix_dedup
 from tidelog.llm.components import components
 
-from .conftest import TEXTS
+from .conftest import PROSE, TEXTS
 
 DOCS = "doc_id long, text string"
 
@@ -66,6 +68,39 @@ def test_near_duplicates_by_brute_force(spark, seed, edits):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize(("seed", "edits"), [(1, 6)])
+def test_groups_open_by_their_bound(spark, monkeypatch, seed, edits):
+    """Which groups the token-group matrix opens, against sets; and that links need opened groups."""
+    rows = family_rows(seed, edits)
+    seen, real = [], ngram_join.open_groups
+
+    def opened(docs, asks, members, percent):
+        got = real(docs, asks, members, percent)
+        sets = {r.doc: (r.n, set(r.tokens)) for r in docs.collect()}
+        union = {}
+        for r in members.collect():
+            union.setdefault(r["group"], set()).update(sets[r.doc][1])
+        expected = {(r.doc, r.other) for r in asks.collect() if len(sets[r.doc][1] & union[r.other]) >= -(-percent * sets[r.doc][0] // 100)}
+        assert {(r.doc, r.other) for r in got.collect()} == expected
+        seen.append((asks.count(), len(expected)))
+        return got
+
+    monkeypatch.setattr(ngram_join, "open_groups", opened)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join_documents(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == brute_components(rows)
+    assert len(seen) == 2 and seen[0][1] > 0  # leaders, then members
+    monkeypatch.setattr(ngram_join, "open_groups", lambda docs, asks, members, percent: asks.limit(0))
+    closed = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join_documents(spark.createDataFrame(rows, DOCS)).collect()}
+    assert closed != got
+
+
+def test_rows_that_share_an_id_are_told_apart_by_their_texts(spark):
+    other = " ".join(f"z{i}" for i in range(40))
+    rows = [(1, PROSE), (1, other), (1, other), (2, PROSE + " again"), (3, other + " z"), (None, PROSE), (4, None), (4, None)]
+    kept = [tuple(r) for r in ngram_join.one_of_each(spark.createDataFrame(rows, DOCS), size=5, percent=80).collect()]
+    assert sorted(kept, key=str) == sorted([(2, PROSE + " again"), (3, other + " z"), (None, PROSE), (4, None)], key=str)
+
+
 def test_every_size_has_a_prefix_that_meets_its_partners():
     """Two sets with the least overlap that links them have slack for all that is not shared."""
     for n in range(1, 300):
@@ -82,7 +117,10 @@ def test_near_duplicates_of_odd_tables(odd_documents, no_documents):
     expected = brute_components(TEXTS)
     assert len(rows) == len(TEXTS)
     for r in rows:
-        assert (r.n_shingles, r.component_id) == (expected[r.doc_id] if r.doc_id is not None else (None, None))
+        if r.doc_id is not None:
+            assert (r.n_shingles, r.component_id) == expected[r.doc_id]
+    nameless = [(len(ngram_join.shingle_set(t, 4)), None) for d, t in TEXTS if d is None]
+    assert sorted((r.n_shingles, r.component_id) for r in rows if r.doc_id is None) == sorted(nameless)
     assert expected[3][1] == 1
     kept = ngram_join.one_of_each(odd_documents)
     assert kept.columns == odd_documents.columns
@@ -227,6 +265,54 @@ def test_contamination_by_brute_force(spark, odd_documents, no_documents):
     assert clean.columns == odd_documents.columns and clean.count() == len(TEXTS)
 
 
+def brute_near(text, items, docs, slop=8):
+    """Distinct ids of the items whose two rarest words stand close to each other."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    counts = collections.Counter(w for t in docs for w in words(t))
+    here, found = words(text), set()
+    for i, t in items:
+        rare = sorted({w for w in words(t) if counts[w]}, key=lambda w: (counts[w], w))[:2]
+        if len(rare) == 2:
+            one, two = ([k for k, w in enumerate(here) if w == r] for r in rare)
+            if any(abs(a - b) <= slop for a in one for b in two):
+                found.add(i)
+    return len(found)
+
+
+def test_near_items_by_brute_force(spark):
+    r = random.Random(5)
+    draw = lambda n: " ".join(f"w{int(r.paretovariate(0.6)) % 300}" for _ in range(n))
+    texts = [(i, draw(r.randrange(120))) for i in range(60)]
+    items = [(i % 25, draw(r.randrange(1, 30))) for i in range(30)] + [(None, draw(9)), (None, draw(9))]
+    bench = spark.createDataFrame([(*x, 0) for x in items], BENCH)
+    got = {r.doc_id: r.n_near for r in decontaminate.contamination(spark.createDataFrame(texts, DOCS), bench).collect()}
+    assert got == {d: brute_near(t, items, [t for _, t in texts]) for d, t in texts}
+    assert max(got.values()) > 1
+
+
+def test_items_without_an_id_count_but_are_not_named(spark):
+    docs = spark.createDataFrame([(1, PROSE), (2, "nothing of it")], DOCS)
+    bench = spark.createDataFrame([(None, PROSE, 0), (None, PROSE + " more", 0), (7, PROSE, 0)], BENCH)
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert got[1].n_items == 2 and got[1].items_sha256 == hashlib.sha256(b"7").hexdigest() and got[1].contaminated
+    assert got[2].n_items == 0 and got[2].n_hit == 0
+
+
+def test_long_items_take_linear_tables(spark):
+    """An item of 20,000 words, one of as many equal words, and one that repeats a passage."""
+    long = [f"t{i}" for i in range(20_000)]
+    same, again = ["la"] * 20_000, [f"p{i % 40}" for i in range(4000)]
+    bench = spark.createDataFrame([(1, " ".join(long), 0), (2, " ".join(same), 0), (3, " ".join(again), 0)], BENCH)
+    items = decontaminate.item_words(bench)
+    terms, placed = decontaminate.item_terms(items)
+    docs = [(1, " ".join(long[500:9000])), (2, " ".join(same[:3000])), (3, " ".join(again[7:200])), (4, "la " * 12), (5, " ".join(long[::2]))]
+    documents = spark.createDataFrame(docs, DOCS)
+    wins = decontaminate.windows(placed, decontaminate.term_counts(decontaminate.build_index(documents, terms)))
+    assert wins.count() <= 44_000 and placed.count() == 44_000
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.contamination(documents, bench).collect()}
+    assert got == {1: (8500, 8500, 1), 2: (3000, 3000, 1), 3: (193, 193, 1), 4: (12, 0, 0), 5: (10_000, 0, 0)}
+
+
 def test_proximity(spark):
     bench = spark.createDataFrame([(1, "rare1 the the rare2", 0)], BENCH)
     texts = [(1, "rare2 x x rare1 the the the"), (2, "rare1 " + "the " * 20 + "rare2"), (3, "the rare1"), (4, "rare1 rare2 the")]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import ascii_lower, hinted, stash
 
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ANY_CASE_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: A document is contaminated if at least one word in so many is in an occurring window.
 ONE_IN = 20
@@ -39,6 +39,10 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), WORD_BREAK), "")
 
 
+def word_count(text: Column) -> Column:
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), ANY_CASE_BREAK), "")).cast("long")
+
+
 def document_keys(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """What tells documents apart, rows with an equal or no id by their texts: ``_id`` and ``_hash``,
     with ``_text``."""
@@ -215,8 +219,7 @@ def contamination(
     but is not in the hash; an empty benchmark leaves all clean. The texts are read twice (index and
     word counts); ids and counts alone are shuffled."""
     hits = measured(documents, benchmark, key, text, item, item_text, near=True)
-    n_words = F.regexp_count(F.coalesce("_text", F.lit("")), F.lit(ANY_CASE_WORD)).cast("long").alias("n_words")
-    rows = _counted(document_keys(documents, key, text).select(*DOC, n_words), hits)
+    rows = _counted(document_keys(documents, key, text).select(*DOC, word_count(F.col("_text")).alias("n_words")), hits)
     items = F.coalesce("_items", F.array().cast("array<string>"))
     return rows.select(
         F.col("_id").alias(key),
@@ -234,8 +237,8 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, key: str = "doc_
     documents only, and whole rows meet no more than the keys of those that go."""
     hits = measured(documents, benchmark, key, text).where("n_hit > 0").select(F.col("_id").alias("_id2"), F.col("_hash").alias("_hash2"), "n_hit")
     hits = stash(hits, "hit-documents")
-    n_words = F.regexp_count(F.col("_text"), F.lit(ANY_CASE_WORD)).alias("n_words")
-    met = document_keys(documents, key, text).join(hinted(hits), same_document("_id2", "_hash2")).select(*DOC, n_words, "n_hit")
+    met = document_keys(documents, key, text).join(hinted(hits), same_document("_id2", "_hash2"))
+    met = met.select(*DOC, word_count(F.col("_text")).alias("n_words"), "n_hit")
     gone = stash(met.where(is_contaminated()).select(F.col("_id").alias("_id2"), F.col("_hash").alias("_hash2")).distinct(), "contaminated")
     rows = documents.select(F.struct("*").alias("_row"))  # so that no column's name can clash
     here = F.col("_row")[key].eqNullSafe(F.col("_id2")) & (F.xxhash64(F.col("_row")[text]) == F.col("_hash2"))

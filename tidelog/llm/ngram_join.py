@@ -7,17 +7,19 @@ only if it shares all but 15 % of its tokens with another one.
    sampled tokens have to occur in other documents. Equal sets are joined to their least document.
 2. The other documents' tokens are counted among themselves and ordered, rarest first. At the first
    token that two linked sets share, at positions i and j, both n - i and m - j tokens are left and
-   must reach the share asked for. So each set needs a row for its first tokens only, with the
-   greatest partner size that it can still link to from there (``reach``). Documents that have such
-   a token in common form a block.
-3. Each document is compared with one leader of each of its blocks, the one with the smallest share
-   of tokens of its own. The links found partition similar documents into groups.
-4. Each group's union of tokens is a row of the token-group matrix. A document that shares a block
-   with another group can only link to a member if enough of its tokens are in the group's row;
-   groups that reach this bound are opened and their members in that block compared.
-
-No pair that can link is left out, and no block is expanded into all its pairs: inside a group the
-links to its leader stand for all.
+   must reach the share asked for. So these first tokens of each set index it, with the greatest
+   partner size that it can still link to from there (``reach``).
+3. The documents are partitioned into groups of similar ones: each goes to that of its index tokens
+   which most documents have. The token-group matrix holds the union of each group's tokens.
+4. A document asks the groups where its index tokens lead. It can only link to a member of a group if
+   all but 15 % of its tokens are in the group's row of the matrix. Groups that reach this bound,
+   and its own, are opened, and it is compared with the leaders that it was led to, the members with
+   the smallest share of tokens of their own. Links so found merge groups.
+5. Where an index token still leads from one merged group to another, the matrix of the merged
+   groups is asked again, and the opened groups' members are compared.
+
+No pair that can link is left out, and no group is expanded into all its pairs: inside a merged group
+the links that made it stand for all. Pairs are compared by their sets of 64-bit tokens.
 """
 
 from __future__ import annotations
@@ -166,54 +168,101 @@ def all_rows(texts: DataFrame, size: int, common: np.ndarray) -> DataFrame:
 
 
 def ordered_tokens(rows: DataFrame, percent: int) -> DataFrame:
-    """Per document that can link: n, own (tokens that no other has) and ``shared`` (the others, as
-    struct(df, token), rarest first). Common tokens come last, as their rows are not gathered for a
-    count."""
+    """Per document that can link: n, own (tokens that no other has) and ``tokens`` (the others, rarest
+    first). Common tokens come last, as their rows are not gathered for a count."""
     count = F.count(F.lit(1)).over(Window.partitionBy("token", "salt"))
     spread = rows.withColumn("df", F.when(F.col("salt") == -1, count).otherwise(F.lit(EVERYWHERE)))
     kept = spread.where((F.col("df") > 1) | (F.col("n") > 0))
     docs = kept.groupBy("doc").agg(
         F.max("n").alias("n"), F.array_sort(F.collect_set(F.when(F.col("df") > 1, F.struct("df", "token")))).alias("shared")
     )
-    docs = docs.withColumn("own", F.col("n") - F.size("shared"))
+    docs = docs.select("doc", "n", (F.col("n") - F.size("shared")).alias("own"), F.transform("shared", lambda x: x["token"]).alias("tokens"))
     return docs.where(F.col("own") <= slack(F.col("n"), percent))
 
 
-def block_rows(docs: DataFrame, percent: int) -> DataFrame:
+def index_rows(docs: DataFrame, percent: int) -> DataFrame:
     """Rows (token, doc, n, reach, share): the tokens of a document that may be the first it has in
     common with a linked one, and the greatest size of that one."""
-    first = F.slice("shared", F.lit(1), (slack(F.col("n"), percent) - F.col("own") + 1).cast("int"))
-    rows = docs.select("doc", "n", "own", F.posexplode(F.transform(first, lambda x: x["token"])).alias("at", "token"))
+    first = F.slice("tokens", F.lit(1), (slack(F.col("n"), percent) - F.col("own") + 1).cast("int"))
+    rows = docs.select("doc", "n", "own", F.posexplode(first).alias("at", "token"))
     left = F.col("n") - F.col("own") - F.col("at")
     reach = F.floor(left * (100 + percent) / percent) - F.col("n")
     return rows.select("token", "doc", "n", reach.alias("reach"), (F.col("own") / F.col("n")).alias("share"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts reach the similarity, compared by their n-grams themselves."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, right = None, set()
-        for b in batches:
-            keep = []
-            for x, y, tx, ty in zip(b["a"], b["b"], b["_ta"], b["_tb"], strict=True):
-                if y != last:
-                    last, right = y, shingle_set(ty, size)
-                left = shingle_set(tx, size)
-                common = len(left & right)
-                if left and 100 * common >= percent * (len(left) + len(right) - common):
-                    keep.append((x, y))
-            yield pd.DataFrame(keep, columns=["a", "b"]).astype("int64")
-
-    one = texts.select(F.col("doc").alias("a"), F.col("text").alias("_ta"))
-    two = texts.select(F.col("doc").alias("b"), F.col("text").alias("_tb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "_ta", "_tb").mapInPandas(run, "a long, b long")
+def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity. Tokens of a document's own are in no other."""
+    one = docs.select(F.col("doc").alias("a"), F.col("n").alias("_na"), F.col("tokens").alias("_ta"))
+    two = docs.select(F.col("doc").alias("b"), F.col("n").alias("_nb"), F.col("tokens").alias("_tb"))
+    common = F.size(F.array_intersect("_ta", "_tb"))
+    linked = 100 * common >= percent * (F.col("_na") + F.col("_nb") - common)
+    return pairs.join(one, "a").join(two, "b").where(linked).select("a", "b")
 
 
 def _fits(reach, n, other_reach, other_n):
     return (F.col(n) <= F.col(other_reach)) & (F.col(other_n) <= F.col(reach))
 
 
+def partition(index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``led`` (doc, n, b): each document with the leaders of its index tokens that it may link to, and
+    the partition (doc, group) of all documents into groups, named after an index token."""
+    leads = index.groupBy("token").agg(F.min(F.struct("share", "doc", "n", "reach")).alias("lead"), F.count(F.lit(1)).alias("members"))
+    leads = leads.where("members > 1").select("token", "members", F.col("lead.doc").alias("b"), F.col("lead.n").alias("_n"), F.col("lead.reach").alias("_reach"))
+    leads = stash(leads, "leaders")  # a written side lets Spark split the other where a token has many rows
+    met = stash(index.join(leads, "token"), "led-rows")
+    led = met.where((F.col("doc") != F.col("b")) & _fits("reach", "n", "_reach", "_n")).select("doc", "b").distinct()
+    groups = met.groupBy("doc").agg(F.max(F.struct("members", "token")).alias("most")).select("doc", F.col("most.token").alias("group"))
+    return led, stash(groups, "partition")
+
+
+def open_groups(docs: DataFrame, asks: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Of the questions ``asks`` (doc, other) those whose group qualifies: the token-group matrix. Its
+    rows are the tokens of each group that is asked, from ``members`` (doc, group); a question's
+    overlap with its group's row has to reach the least number of tokens that a link shares."""
+    wanted = stash(asks.select(F.col("other").alias("group")).distinct(), "asked-groups")
+    inside = members.join(wanted, "group", "left_semi").join(docs.select("doc", "tokens"), "doc")
+    matrix = stash(inside.select(F.col("group").alias("other"), F.explode("tokens").alias("token")).distinct(), "token-group-matrix")
+    asked = asks.join(docs.select("doc", "n", "tokens"), "doc")
+    hits = asked.select("doc", "other", "n", F.explode("tokens").alias("token")).join(matrix, ["other", "token"])
+    bound = F.col("n") - slack(F.col("n"), percent)
+    overlap = hits.groupBy("doc", "other", "n").agg(F.count(F.lit(1)).alias("overlap"))
+    return stash(overlap.where(F.col("overlap") >= bound).select("doc", "other"), "opened")
+
+
+def leader_pairs(docs: DataFrame, led: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a document and a leader in its own group or another that it opens."""
+    own = groups.select("doc", F.col("group").alias("_own"))
+    there = groups.select(F.col("doc").alias("b"), F.col("group").alias("other"))
+    placed = stash(led.join(own, "doc").join(there, "b"), "led-pairs")
+    foreign = placed.where(F.col("other") != F.col("_own"))
+    opened = open_groups(docs, stash(foreign.select("doc", "other").distinct(), "questions"), groups, percent)
+    pairs = placed.where(F.col("other") == F.col("_own")).select("doc", "b").union(foreign.join(opened, ["doc", "other"]).select("doc", "b"))
+    return stash(pairs.select(F.col("doc").alias("a"), "b"), "leader-pairs")
+
+
+def member_pairs(docs: DataFrame, index: DataFrame, groups: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents of different merged groups that may link, where one opens the other's group.
+    The smaller group asks."""
+    placed = index.join(groups, F.col("doc") == F.col("node"), "left").withColumn("group", F.coalesce("component", "doc"))
+    placed = stash(placed.select("token", "doc", "n", "reach", "group"), "placed")
+    mixed = placed.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high"))
+    mixed = stash(mixed.where(F.col("_low") != F.col("_high")).select("token"), "mixed-tokens")
+    inside = placed.join(mixed, "token", "left_semi")
+    extent = placed.groupBy("group").agg(F.count_distinct("doc").alias("extent"))
+    sized = stash(inside.join(stash(extent, "extents"), "group"), "mixed-rows")
+    parts = sized.groupBy("token", "group", "extent").agg(F.min("n").alias("least"), F.max("reach").alias("most"))
+    parts = stash(parts.select("token", F.col("group").alias("other"), F.col("extent").alias("o_extent"), "least", "most"), "parts")
+    smaller = F.struct("extent", "group") < F.struct(F.col("o_extent").alias("extent"), F.col("other").alias("group"))
+    asks = sized.join(parts, "token").where(smaller & _fits("reach", "n", "most", "least"))
+    asks = stash(asks.select("doc", "other").distinct(), "questions")
+    opened = open_groups(docs, asks, placed.select("doc", "group").distinct(), percent)
+    right = sized.select(F.col("token").alias("_token"), F.col("doc").alias("b"), F.col("n").alias("_n"), F.col("reach").alias("_reach"), F.col("group").alias("_group"))
+    met = sized.join(opened, "doc").join(right, (F.col("token") == F.col("_token")) & (F.col("other") == F.col("_group")))
+    more = met.where(_fits("reach", "n", "_reach", "_n")).select(F.col("doc").alias("a"), "b").distinct()
+    known = done.select("a", "b").union(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return stash(more.join(known, ["a", "b"], "left_anti"), "member-pairs")
+
+
 def similar_groups(
     documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
@@ -225,76 +274,62 @@ def similar_groups(
     texts = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     texts = stash(texts.join(hinted(chosen), "doc", "left_semi"), "candidate-texts")
     docs = stash(ordered_tokens(all_rows(texts, size, common_tokens(texts, size)), percent), "candidate-sets")
-    blocks = stash(block_rows(docs, percent), "blocks")
-    leads = blocks.groupBy("token").agg(F.min(F.struct("share", "doc", "n", "reach")).alias("lead"), F.count(F.lit(1)).alias("members"))
-    leads = leads.where("members > 1").select("token", F.col("lead.doc").alias("b"), F.col("lead.n").alias("_n"), F.col("lead.reach").alias("_reach"))
-    leads = stash(leads, "leaders")  # a written side lets Spark split the other where a token has many rows
-    led = blocks.join(leads, "token").where((F.col("doc") != F.col("b")) & _fits("reach", "n", "_reach", "_n"))
-    pairs = stash(led.select(F.col("doc").alias("a"), "b").distinct(), "leader-pairs")
-    links = stash(verified(pairs, texts, size, percent), "links")
+    index = stash(index_rows(docs, percent), "index")
+    led, parts = partition(index)
+    pairs = leader_pairs(docs, led, parts, percent)
+    links = stash(verified(pairs, docs, percent), "links")
     groups = stash(components(links), "groups")
-    late = stash(verified(later_pairs(docs, blocks, groups, pairs, percent), texts, size, percent), "late-links")
+    late = stash(verified(member_pairs(docs, index, groups, pairs, percent), docs, percent), "late-links")
     if not late.isEmpty():
         groups = stash(components(links.union(late)), "groups")
     return sizes.select("doc", "n", "same"), groups
 
 
-def later_pairs(docs: DataFrame, blocks: DataFrame, groups: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups that may link: the token-group matrix."""
-    placed = blocks.join(groups, F.col("doc") == F.col("node"), "left").withColumn("group", F.coalesce("component", "doc"))
-    placed = stash(placed.select("token", "doc", "n", "reach", "group"), "placed")
-    mixed = placed.groupBy("token").agg(F.min("group").alias("_low"), F.max("group").alias("_high"))
-    mixed = stash(mixed.where(F.col("_low") != F.col("_high")).select("token"), "mixed-tokens")
-    inside = placed.join(mixed, "token", "left_semi")
-    extent = placed.groupBy("group").agg(F.count_distinct("doc").alias("extent"))
-    sized = stash(inside.join(stash(extent, "extents"), "group"), "mixed-blocks")
-    parts = sized.groupBy("token", "group", "extent").agg(F.min("n").alias("least"), F.max("reach").alias("most"))
-    parts = stash(parts.select("token", F.col("group").alias("other"), F.col("extent").alias("o_extent"), "least", "most"), "parts")
-    smaller = F.struct("extent", "group") < F.struct(F.col("o_extent").alias("extent"), F.col("other").alias("group"))
-    asks = sized.join(parts, "token").where(smaller & _fits("reach", "n", "most", "least"))
-    asks = stash(asks.select("doc", "other").distinct(), "queries")
-    wanted = stash(asks.select(F.col("other").alias("group")).distinct(), "asked-groups")
-    members = placed.select("doc", "group").distinct().join(wanted, "group", "left_semi")
-    matrix = members.join(docs, "doc").select(F.col("group").alias("other"), F.explode("shared.token").alias("token")).distinct()
-    asked = asks.join(docs.select("doc", "n", "shared"), "doc")
-    hits = asked.select("doc", "other", F.explode("shared.token").alias("token")).join(matrix, ["other", "token"])
-    overlap = hits.groupBy("doc", "other").agg(F.count(F.lit(1)).alias("overlap"))
-    bound = F.col("n") - slack(F.col("n"), percent)
-    opened = stash(asked.join(overlap, ["doc", "other"]).where(F.col("overlap") >= bound).select("doc", "other"), "opened")
-    right = sized.select(F.col("token").alias("_token"), F.col("doc").alias("b"), F.col("n").alias("_n"), F.col("reach").alias("_reach"), F.col("group").alias("_group"))
-    met = sized.join(opened, "doc").join(right, (F.col("token") == F.col("_token")) & (F.col("other") == F.col("_group")))
-    more = met.where(_fits("reach", "n", "_reach", "_n")).select(F.col("doc").alias("a"), "b").distinct()
-    known = done.select("a", "b").union(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return stash(more.join(known, ["a", "b"], "left_anti"), "late-pairs")
+def set_sizes(documents: DataFrame, text: str, size: int) -> DataFrame:
+    """``_n``, the size of each row's set, in place of its other columns."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = ShingleHashes(size)
+        for b in batches:
+            yield pd.DataFrame({"_n": [len(hashes(t)) for t in b["_text"]]})
+
+    return bounded_batches(documents).select(F.col(text).alias("_text")).mapInPandas(run, "_n long")
 
 
 def join_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: n_shingles and component_id (the least id reachable by links, itself included).
 
     Null and empty texts have no shingles and no links. Rows that repeat an id are one document with
-    the larger of their sets' sizes, and each gives a row; a null id gives null results."""
+    the larger of their sets' sizes, and each gives a row; a row without an id has its set's size,
+    no links and no component."""
     sizes, groups = similar_groups(documents, key, text, size, percent)
-    rows = documents.select(F.col(key).alias(key), F.col(key).cast("long").alias("_id"))
+    rows = documents.where(F.col(key).isNotNull()).select(F.col(key).alias(key), F.col(key).cast("long").alias("_id"))
     rows = rows.join(sizes, F.col("_id") == F.col("doc"), "left").join(groups, F.col("same") == F.col("node"), "left")
-    return rows.select(key, F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "same").alias("component_id"))
+    rows = rows.select(key, F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "same").alias("component_id"))
+    nameless = set_sizes(documents.where(F.col(key).isNull()), text, size)
+    return rows.union(nameless.select(F.lit(None).cast(documents.schema[key].dataType), "_n", F.lit(None).cast("long")))
 
 
 def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``documents`` without those that link, directly or over others, to one of a lesser id. Of rows
-    that repeat an id one stays, the first by text. Documents without words or id all stay."""
-    sizes, groups = similar_groups(documents, key, text, size, percent)
+    """``documents`` without those that link, directly or over others, to one of a lesser id. Rows that
+    repeat an id and its text are one; those that repeat an id with another text are documents of
+    their own, after all others. Documents without words or id all stay."""
+    rows = documents.select(F.struct("*").alias("_row"))  # so that no column's name can clash
+    id_ = F.col("_row")[key]
+    rows = rows.select("_row", id_.cast("long").alias("_k"), F.col("_row")[text].alias("_t"))
+    counts = documents.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("_again")).agg(F.count(F.lit(1)).alias("_times"))
+    again = stash(counts.where("_times > 1").select("_again"), "repeated-ids")
+    if not again.isEmpty():
+        again, here = hinted(again), F.col("_k") == F.col("_again")
+        beyond = documents.agg(F.max(F.col(key).cast("long"))).first()[0] + 1
+        first = F.row_number().over(Window.partitionBy("_k", "_t").orderBy(F.to_json("_row")))
+        doubled = rows.join(again, here, "left_semi").withColumn("_first", first).where("_first = 1")
+        doubled = stash(doubled.select("_row", (F.lit(beyond) + F.monotonically_increasing_id()).alias("_k"), "_t"), "repeated-rows")
+        rows = rows.join(again, here, "left_anti").union(doubled)
+    sizes, groups = similar_groups(rows, "_k", "_t", size, percent)
     least = sizes.join(groups, F.col("same") == F.col("node"), "left").withColumn("least", F.coalesce("component", "same"))
     gone = stash(least.where(F.col("doc") != F.col("least")).select(F.col("doc").alias("_gone")), "gone")
-    rows = documents.select(F.struct("*").alias("_row"))  # so that no column's name can clash
-    id_, text_ = F.col("_row")[key], F.col("_row")[text]
-    kept = rows.join(hinted(gone), id_.cast("long") == F.col("_gone"), "left_anti")
-    again = kept.where(id_.isNotNull()).groupBy(id_.alias("_again")).agg(F.count(F.lit(1)).alias("_times"))
-    again = stash(again.where("_times > 1").select("_again"), "repeated-ids")
-    if again.isEmpty():
-        return kept.select("_row.*")
-    doubled = kept.join(again, id_ == F.col("_again"), "left_semi")
-    first = doubled.withColumn("_k", F.row_number().over(Window.partitionBy(id_).orderBy(text_))).where("_k = 1").drop("_k")
-    return kept.join(again, id_ == F.col("_again"), "left_anti").union(first).select("_row.*")
+    return rows.join(hinted(gone), F.col("_k") == F.col("_gone"), "left_anti").select("_row.*")
 
 
 JOIN_SQL = rf"""
