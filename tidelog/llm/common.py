@@ -65,14 +65,17 @@ def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if n <= rows and (held or 0) <= BROADCAST_BYTES else df
 
 
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, after making sure that at most BATCH_ROWS of its texts go to Python in one Arrow batch.
-    Each batch is held by the executor's JVM and its worker at once, and Spark's 10,000 rows of text
-    are tens of MB in each. A smaller setting of the session stays."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
+    """``df``, after making sure that at most BATCH_ROWS of its texts and, but for a single longer one,
+    BATCH_BYTES go to Python in one Arrow batch. Each batch is held by the executor's JVM and its
+    worker at once. Spark has these bounds as settings of the session only; smaller ones stay."""
+    spark = df.sparkSession
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < in_bytes(spark.conf.get(name)) <= most:
+            spark.conf.set(name, str(most))
     return df
