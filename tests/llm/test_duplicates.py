@@ -200,6 +200,59 @@ def test_suffixes_are_sorted_and_collisions_verified(monkeypatch):
     assert [x.tolist() for x in suffix_dedup.repeated_starts(*args)] == expected
 
 
+@pytest.mark.parametrize("crowd", [2000, 1])
+def test_copies_are_verified_by_their_bytes(spark, monkeypatch, crowd):
+    """With a base of 1 a hash is a sum of bytes, so contexts of the same bytes in another order agree;
+    the copies are found to differ and the next base is taken."""
+    monkeypatch.setattr(suffix_dedup, "BASE2", 1)
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    r = random.Random(3)
+    body = [r.choice("abcdefgh") for _ in range(900)]
+    texts = []
+    for k in range(30):
+        changed = list(body)
+        for at in range(k % 3 * 20, 900, 230):
+            changed[at], changed[at + 1 + k % 5] = changed[at + 1 + k % 5], changed[at]
+        texts.append("".join(changed))
+    calls, real = [], suffix_dedup.differing
+
+    def differing(texts, copies, length):
+        out = real(texts, copies, length)
+        calls.append(out.agg({"bad": "sum"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "differing", differing)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.digests(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert got == dict(enumerate(brute_cut(texts, 200)))
+    assert len(calls) == 2 and calls[0] > 0 == calls[1]
+    monkeypatch.setattr(suffix_dedup, "SPARE_BASES", ())
+    with pytest.raises(ArithmeticError):
+        suffix_dedup.digests(spark.createDataFrame(list(enumerate(texts)), DOCS))
+
+
+def test_a_gram_that_is_everywhere_is_spread(spark, monkeypatch):
+    """One line in many contexts: no window or group by gram alone holds its rows, and the strings of its
+    contexts are dealt by their hashes."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", 20)
+    r = random.Random(8)
+    line = "".join(r.choice("abcdefghijklmnop ") for _ in range(150))
+    texts = ["".join(r.choice("abcdefghijklmnop ") for _ in range(170)) + line + "".join(r.choice("abcdefghijklmnop ") for _ in range(170)) for _ in range(600)]
+    texts += [texts[5][:120] + texts[9][120:], texts[7][90:330] + "zz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(4)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.digests(docs).collect()}
+    assert got == dict(enumerate(brute_cut(texts, 200)))
+    anchors = suffix_dedup.known_anchors(suffix_dedup.anchor_rows(docs, "doc_id", "text", 200, suffix_dedup.BASE2))
+    wanted = suffix_dedup.wanted_anchors(anchors)
+    hot = wanted.where("crowd").groupBy("gram").count().orderBy("count", ascending=False).first()
+    assert hot["count"] >= 200
+    texts_ = suffix_dedup.packed_texts(docs, "doc_id", "text")
+    rows = suffix_dedup.context_rows(texts_, wanted, 200, suffix_dedup.BASE2)
+    assert rows.where("second IS NOT NULL").groupBy("gram", "second").count().agg({"count": "max"}).first()[0] <= 4
+    assert rows.where("bytes IS NOT NULL").groupBy("gram").count().agg({"count": "max"}).first()[0] <= 20
+    plan = anchors._jdf.queryExecution().executedPlan().toString()
+    assert all("context#" in x.split(")")[0] for x in plan.split("hashpartitioning(")[1:])
+
+
 def test_repeated_strings_of_odd_tables(odd_documents, no_documents):
     expected = sorted(str((d, *b)) for (d, _), b in zip(TEXTS, brute_cut([t for _, t in TEXTS], 200), strict=True))
     assert sorted(str(tuple(r)) for r in suffix_dedup.digests(odd_documents).collect()) == expected

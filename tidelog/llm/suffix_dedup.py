@@ -5,16 +5,18 @@ ties, is its anchor, and equal strings have it at the same place. So only string
 need comparing, and these are brought together through anchors, about one in 80 bytes:
 
 1. Each anchor gives a row: the hash of its gram, a hash of its context (all bytes of all strings it
-   anchors) and its place. Anchors whose gram nobody else has are left out; where a context as a
-   whole is found twice, all its strings are repeated.
-2. The contexts of the other anchors, mostly at the ends of repeats, are sent to their gram's group
-   with one copy of each repeated context there. In a group, the suffixes at the same distance from
-   the anchor are merge-sorted; two suffixes are compared through prefix polynomial hashes, a binary
-   search giving the length of their common extension. Neighbours that agree over ``length`` bytes
-   are repeated; their bytes are compared, so that no hash collision passes.
-3. Where one gram has very many contexts, each of their strings is counted by 128 bits of hash
-   instead, so that no task holds a group that grows with the corpus.
-4. Each document is joined with its repeated starts and cut.
+   anchors) and its place. Rows of equal contexts are copies of the first of them, which stands for
+   them; where a gram has one context only, there is nothing else to compare.
+2. The contexts that stand alone in a gram that has several, mostly at the ends of repeats, are sent
+   to their gram's group with the first copy of each repeated context there. In a group, the suffixes
+   at the same distance from the anchor are merge-sorted; two suffixes are compared through prefix
+   polynomial hashes, a binary search giving the length of their common extension. Neighbours that
+   agree over ``length`` bytes are repeated; their bytes are compared, so that no collision passes.
+3. Where one gram has very many contexts, the group is split further, by string: each of their strings
+   is dealt by two hashes, so that no task holds a group that grows with the corpus.
+4. Copies of contexts and strings are verified: their bytes, joined to runs, are sent to the document
+   of the one that stands for them and compared. If any differ, all is done again with other hashes.
+5. Each document is joined with its repeated starts and cut.
 """
 
 from __future__ import annotations
@@ -33,9 +35,11 @@ from tidelog.llm.common import bounded_batches, stash
 
 LENGTH = 200
 GRAM = 40
-CROWD = 2000  # contexts of one gram beyond which its strings are counted one by one
+CROWD = 2000  # contexts of one gram beyond which its group is split by string
 FLAT_BYTES = 1 << 19  # bytes that are hashed or sorted at a time, whole documents or groups
 BASE, BASE2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: Further bases, should two strings ever agree in all hashes.
+SPARE_BASES = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: A place packs the first start, the anchor's distance from it and the number of starts.
 SPAN_BITS, OFF_BITS = 8, 8
 
@@ -98,8 +102,8 @@ def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors_of(texts: list[bytes], length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """For all anchors of some texts: text number, gram hash, context hash and place."""
+def anchors_of(texts: list[bytes], length: int, gram: int = GRAM, base: int = BASE2) -> tuple[np.ndarray, ...]:
+    """For all anchors of some texts: text number, gram hash, context hash (by ``base``) and place."""
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum(sizes)
@@ -120,24 +124,26 @@ def anchors_of(texts: list[bytes], length: int, gram: int = GRAM) -> tuple[np.nd
     first = np.nonzero(new)[0]
     span = np.diff(np.r_[first, len(start)])
     lo, a, t = start[first], a[first], t[first]
-    context = PrefixHashes(data, BASE2).of(lo, span - 1 + length)
+    context = PrefixHashes(data, base).of(lo, span - 1 + length)
     context = _mixed(context + (span.astype(np.uint64) << np.uint64(32)) + (a - lo).astype(np.uint64))
     place = ((lo - (ends - sizes)[t]) << (SPAN_BITS + OFF_BITS)) | ((a - lo) << SPAN_BITS) | span
     return t, grams[a].view(np.int64), context.view(np.int64), place
 
 
-def _combine(gram: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """How many anchors each row stands for. Of equal contexts in a batch one row stands for all; the
-    others are known to be repeated and stand for none, and their grams are replaced by a hash of
+def _combine(gram: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many anchors each row stands for, and which row stands for it. Of equal contexts in a batch
+    one row stands for all. The others stand for none, and their grams are replaced by a hash of
     their place, so that a gram that is everywhere does not gather its rows in one task."""
     order = np.lexsort((place, doc, context, gram))
     same = np.r_[False, (gram[order][1:] == gram[order][:-1]) & (context[order][1:] == context[order][:-1])] if len(order) else np.empty(0, bool)
     first = np.nonzero(~same)[0]
-    times = np.zeros(len(order), np.int32)
-    times[order[first]] = np.diff(np.r_[first, len(order)])
+    times, stands = np.zeros(len(order), np.int32), np.empty(len(order), np.int64)
+    counts = np.diff(np.r_[first, len(order)])
+    times[order[first]] = counts
+    stands[order] = np.repeat(order[first], counts)
     gone = order[same]
     gram[gone] = _mixed(_mixed(doc[gone].view(np.uint64)) + place[gone].view(np.uint64)).view(np.int64)
-    return times
+    return times, stands
 
 
 def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -150,7 +156,9 @@ def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def anchor_rows(documents: DataFrame, key: str, text: str, length: int) -> DataFrame:
+def anchor_rows(documents: DataFrame, key: str, text: str, length: int, base: int) -> DataFrame:
+    """gram, context, doc, fold, place, times and, where times is 0, the row that stands for it."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             part: list[bytes] = []
@@ -158,11 +166,14 @@ def anchor_rows(documents: DataFrame, key: str, text: str, length: int) -> DataF
             held = 0
 
             def rows(part=None, where=None, b=b):
-                t, gram, context, place = anchors_of(part, length)
+                t, gram, context, place = anchors_of(part, length, base=base)
                 at = np.array(where, np.int64)[t]
                 doc, fold = b["doc"].to_numpy()[at], b["fold"].to_numpy()[at]
-                times = _combine(gram, context, doc, place)
-                return pd.DataFrame({"gram": gram, "context": context, "doc": doc, "fold": fold, "place": place, "times": times})
+                times, stands = _combine(gram, context, doc, place)
+                out = pd.DataFrame({"gram": gram, "context": context, "doc": doc, "fold": fold, "place": place, "times": times})
+                for name in ("doc", "fold", "place"):
+                    out[f"r_{name}"] = out[name].to_numpy()[stands]
+                return out
 
             for i, t in enumerate(b["_text"]):
                 if t is None or len(t) * 4 < length:
@@ -176,24 +187,31 @@ def anchor_rows(documents: DataFrame, key: str, text: str, length: int) -> DataF
             if part:
                 yield rows(part, where)
 
-    return _keyed(documents, key, text).mapInPandas(run, "gram long, context long, doc long, fold int, place long, times int")
+    schema = "gram long, context long, doc long, fold int, place long, times int, r_doc long, r_fold int, r_place long"
+    return _keyed(documents, key, text).mapInPandas(run, schema)
 
 
-def sorted_anchors(rows: DataFrame) -> DataFrame:
-    """Anchors whose gram occurs twice or more, with ``whole`` (the context is repeated as it is),
-    ``ask`` (to be compared), ``lend`` (the copy of a repeated context that others are compared
-    with) and ``crowd``. All windows share one exchange by gram."""
-    by_gram, by_context = Window.partitionBy("gram"), Window.partitionBy("gram", "context")
-    n = rows.withColumn("n", F.sum("times").over(by_gram)).where("n > 1 OR times = 0")
-    n = n.withColumn("m", F.sum("times").over(by_context))
-    n = n.withColumn("k", F.row_number().over(by_context.orderBy(F.desc("times"), "doc", "fold", "place")))
-    n = n.withColumn("single", F.sum((F.col("m") == 1).cast("int")).over(by_gram))
-    n = n.withColumn("kinds", F.sum((F.col("k") == 1).cast("int")).over(by_gram))
+def known_anchors(rows: DataFrame) -> DataFrame:
+    """Anchors with ``m`` (how many have the context), ``k`` (1 for the row that stands for them) and, of
+    copies, ``r_doc``, ``r_fold`` and ``r_place``, the row that stands for them."""
+    by_context = Window.partitionBy("gram", "context")
+    ordered = by_context.orderBy(F.desc("times"), "doc", "fold", "place")
+    n = rows.withColumn("m", F.sum("times").over(by_context)).withColumn("k", F.row_number().over(ordered))
     there = F.col("times") > 0
-    ask = there & (F.col("m") == 1) & (F.col("kinds") > 1)
-    lend = there & (F.col("m") > 1) & (F.col("k") == 1) & (F.col("single") > 0)
-    whole = ~there | (F.col("m") > 1)
-    return n.select("gram", "doc", "fold", "place", whole.alias("whole"), ask.alias("ask"), lend.alias("lend"), (F.col("kinds") > CROWD).alias("crowd"))
+    for name in ("doc", "fold", "place"):
+        n = n.withColumn(f"r_{name}", F.when(there, F.first(name).over(ordered)).otherwise(F.col(f"r_{name}")))
+    return n
+
+
+def wanted_anchors(anchors: DataFrame) -> DataFrame:
+    """Anchors whose contexts are to be compared: gram, doc, fold, place, ``ask`` (false for the copy of a
+    repeated context that others are compared with) and ``crowd``. Contexts are counted by gram with
+    partial counts, and joined back to a written table, whose skew Spark can split: a gram that is
+    everywhere has its rows in many tasks."""
+    ones = anchors.where("times > 0 AND k = 1").select("gram", "doc", "fold", "place", (F.col("m") == 1).alias("ask"))
+    grams = ones.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("ask").cast("int")).alias("single"))
+    grams = stash(grams.where("kinds > 1 AND single > 0").select("gram", (F.col("kinds") > CROWD).alias("crowd")), "grams")
+    return stash(ones.join(grams, "gram").select("gram", "doc", "fold", "place", "ask", "crowd"), "wanted")
 
 
 def packed_texts(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -212,51 +230,67 @@ def _unpack(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def _string_rows(strings: list[tuple]) -> list[tuple]:
-    """Rows for the strings of crowded grams: (hash, hash, start, doc, fold, ask) by arrays. A string
-    that is here twice is known to be repeated, so its starts are given as runs (without hashes),
-    and for all others to be counted with it stands one row."""
+def _starts(run: np.ndarray) -> np.ndarray:
+    """Where a new run begins, given whether each row but the first follows its predecessor."""
+    return np.nonzero(np.r_[True, ~run])[0]
+
+
+def _string_rows(strings: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Of strings of crowded grams, by arrays (hash, hash, start, doc, fold, ask): rows for those that
+    differ, each with whether it asks and how often it is there (2 for more), and the copies among
+    them as runs (doc, fold, start, count, r_doc, r_fold, r_start), of which no row is needed."""
     one, two, at, doc, fold, ask = (np.concatenate(x) for x in zip(*strings, strict=True))
     order = np.lexsort((two, one))
-    new = np.r_[True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])]
-    first = np.nonzero(new)[0]
+    first = _starts((one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1]))
     times = np.diff(np.r_[first, len(order)])
     seed = order[first]
-    rows = []
-    for k, n in zip(seed.tolist(), times.tolist(), strict=True):
-        rows.append((one[k], two[k], None, doc[k], fold[k], int(at[k]) << (SPAN_BITS + OFF_BITS) | 1, bool(ask[k]) and n == 1, min(n, 2)))
-    known = np.sort(order[np.repeat(times, times) > 1])
-    known = known[ask[known]]
-    if len(known):
-        here = at[known]
-        follows = (here[1:] == here[:-1] + 1) & (doc[known][1:] == doc[known][:-1]) & (fold[known][1:] == fold[known][:-1])
-        follows &= here[1:] % 128 != 0  # a place holds short runs only
-        begin = np.nonzero(np.r_[True, ~follows])[0]
-        for k, n in zip(known[begin].tolist(), np.diff(np.r_[begin, len(known)]).tolist(), strict=True):
-            rows.append((None, None, None, doc[k], fold[k], int(at[k]) << (SPAN_BITS + OFF_BITS) | n, True, 0))
-    return rows
-
-
-def context_rows(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
-    """What is to be compared. Of a crowded gram: a row for each string that differs from others in
-    the batch, with two hashes, and runs of those that do not. Of the others: a row for each
+    rows = [(one[k], two[k], None, doc[k], fold[k], int(at[k]) << (SPAN_BITS + OFF_BITS) | 1, bool(ask[k]), min(n, 2)) for k, n in zip(seed.tolist(), times.tolist(), strict=True)]
+    stands = np.empty(len(order), np.int64)
+    stands[order] = np.repeat(seed, times)
+    copy = np.nonzero(stands != np.arange(len(stands)))[0]
+    copies = []
+    if len(copy):
+        to = stands[copy]
+        follows = (at[copy][1:] == at[copy][:-1] + 1) & (at[to][1:] == at[to][:-1] + 1)
+        for x in (doc, fold):
+            follows &= (x[copy][1:] == x[copy][:-1]) & (x[to][1:] == x[to][:-1])
+        begin = _starts(follows)
+        for i, n in zip(begin.tolist(), np.diff(np.r_[begin, len(copy)]).tolist(), strict=True):
+            k, r = copy[i], to[i]
+            copies.append((doc[k], fold[k], at[k], n, doc[r], fold[r], at[r]))
+    return rows, copies
+
+
+CONTEXTS = (
+    "gram long, second long, bytes binary, doc long, fold int, place long, ask boolean, times int,"
+    " start long, count long, r_doc long, r_fold int, r_start long"
+)
+
+
+def context_rows(texts: DataFrame, wanted: DataFrame, length: int, base: int) -> DataFrame:
+    """What is to be compared. Of a crowded gram: a row for each string that differs from others in the
+    batch, with two hashes, and the copies of those (with ``start``). Of the others: a row for each
     context, with its bytes."""
-    wanted = anchors.where("ask OR lend").groupBy("doc", "fold").agg(F.collect_list(F.struct("gram", "place", "ask", "crowd")).alias("_marks"))
-    names = ["gram", "second", "bytes", "doc", "fold", "place", "ask", "times"]
+    marks = wanted.groupBy("doc", "fold").agg(F.collect_list(F.struct("gram", "place", "ask", "crowd")).alias("_marks"))
+    names = [x.split()[0] for x in CONTEXTS.split(", ")]
 
     def frame(rows: list[tuple], strings: list[tuple]) -> pd.DataFrame:
-        columns = dict(zip(names, zip(*(rows + (_string_rows(strings) if strings else [])), strict=True), strict=True))
-        for c in ("gram", "second"):  # with nulls, and of more bits than a float holds
-            columns[c] = pd.array(list(columns[c]), dtype="Int64")
+        more, copies = _string_rows(strings) if strings else ([], [])
+        rows = [(*r, *[None] * 5) for r in rows + more]
+        rows += [(None, None, None, d, f, None, None, None, at, n, rd, rf, rat) for d, f, at, n, rd, rf, rat in copies]
+        columns = dict(zip(names, zip(*rows, strict=True), strict=True))
+        for c, kind in zip(names, CONTEXTS.split(", "), strict=True):  # with nulls, and of more bits than a float holds
+            if kind.split()[1] in ("long", "int"):
+                columns[c] = pd.array(list(columns[c]), dtype="Int64")
         return pd.DataFrame(columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, strings, size = [], [], 0
         for b in batches:
-            for doc, fold, packed, marks in zip(b["doc"], b["fold"], b["packed"], b["_marks"], strict=True):
+            for doc, fold, packed, found in zip(b["doc"], b["fold"], b["packed"], b["_marks"], strict=True):
                 data = _unpack(packed)
                 hashes = None
-                for m in marks:
+                for m in found:
                     span = m["place"] & ((1 << SPAN_BITS) - 1)
                     lo = m["place"] >> (SPAN_BITS + OFF_BITS)
                     if not m["crowd"]:
@@ -266,7 +300,7 @@ def context_rows(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame
                         continue
                     if hashes is None:
                         flat = np.frombuffer(data, np.uint8)
-                        hashes = (PrefixHashes(flat), PrefixHashes(flat, BASE2))
+                        hashes = (PrefixHashes(flat), PrefixHashes(flat, base))
                     at = np.arange(lo, lo + span)
                     one, two = (_mixed(h.of(at, length)).view(np.int64) for h in hashes)
                     strings.append((one, two, at, np.full(span, doc), np.full(span, fold), np.full(span, m["ask"])))
@@ -277,8 +311,7 @@ def context_rows(texts: DataFrame, anchors: DataFrame, length: int) -> DataFrame
         if size:
             yield frame(out, strings)
 
-    schema = "gram long, second long, bytes binary, doc long, fold int, place long, ask boolean, times int"
-    return texts.join(wanted, ["doc", "fold"]).mapInPandas(run, schema)
+    return texts.join(marks, ["doc", "fold"]).mapInPandas(run, CONTEXTS)
 
 
 class SuffixSort:
@@ -395,8 +428,6 @@ def compared(contexts: DataFrame, length: int) -> DataFrame:
         span = place & ((1 << SPAN_BITS) - 1)
         off = (place >> SPAN_BITS) & ((1 << OFF_BITS) - 1)
         owner, step = repeated_starts(np.array([r[0] for r in rows]), [r[1] for r in rows], off, span, length)
-        asks = np.array([r[5] for r in rows], bool)
-        owner, step = owner[asks[owner]], step[asks[owner]]
         start = (place >> (SPAN_BITS + OFF_BITS))[owner] + step
         new = np.r_[True, (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)] if len(owner) else np.empty(0, bool)
         first = np.nonzero(new)[0]
@@ -408,7 +439,7 @@ def compared(contexts: DataFrame, length: int) -> DataFrame:
         rows: list[tuple] = []
         held, last = 0, None
         for b in batches:
-            for r in zip(b["gram"], b["bytes"], b["doc"], b["fold"], b["place"], b["ask"], strict=True):
+            for r in zip(b["gram"], b["bytes"], b["doc"], b["fold"], b["place"], strict=True):
                 if r[0] != last and held > FLAT_BYTES:
                     yield results(rows)
                     rows, held = [], 0
@@ -418,35 +449,93 @@ def compared(contexts: DataFrame, length: int) -> DataFrame:
         if rows:
             yield results(rows)
 
-    grouped = contexts.where("bytes IS NOT NULL").select("gram", "bytes", "doc", "fold", "place", "ask")
+    grouped = contexts.where("bytes IS NOT NULL").select("gram", "bytes", "doc", "fold", "place")
     grouped = grouped.repartition("gram").sortWithinPartitions("gram")
     return grouped.mapInPandas(run, "doc long, fold int, start long, count long")
 
 
-def counted(contexts: DataFrame) -> DataFrame:
-    """The same for crowded grams: strings whose 128-bit hash is found twice or more, and the runs
-    that are known already. Counts are combined before their shuffle."""
-    strings = contexts.where("second IS NOT NULL")
-    twice = strings.groupBy("gram", "second").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
-    found = strings.where("ask").join(twice, ["gram", "second"]).select("doc", "fold", "place")
-    return _places(found.union(contexts.where("gram IS NULL").select("doc", "fold", "place")))
+COPY = ["doc", "fold", "start", "count", "r_doc", "r_fold", "r_start"]
 
 
-def _places(rows: DataFrame) -> DataFrame:
+def split_copies(contexts: DataFrame) -> DataFrame:
+    """The same for crowded grams, as copies (runs of ``count`` starts and the ones that stand for them):
+    strings whose 128 bits of hash are found twice or more, and those known already. Counts are
+    combined before their shuffle."""
+    strings = contexts.where("second IS NOT NULL")
+    first = F.min(F.struct("doc", "fold", "place"))
+    twice = strings.groupBy("gram", "second").agg(F.sum("times").alias("n"), first.alias("first")).where("n > 1")
+    twice = stash(twice.select("gram", "second", "first"), "repeated-strings")
+    low = lambda c: F.shiftright(c, SPAN_BITS + OFF_BITS)
+    found = strings.join(twice, ["gram", "second"]).select(
+        "doc", "fold", low("place").alias("start"), F.lit(1).cast("long").alias("count"), F.col("first.doc").alias("r_doc"),
+        F.col("first.fold").alias("r_fold"), low("first.place").alias("r_start"),
+    )
+    return found.union(contexts.where("start IS NOT NULL").select(*COPY))
+
+
+def context_copies(anchors: DataFrame) -> DataFrame:
+    """Copies of whole contexts."""
     start, count = F.shiftright("place", SPAN_BITS + OFF_BITS), F.col("place").bitwiseAND(F.lit((1 << SPAN_BITS) - 1))
-    return rows.select("doc", "fold", start.alias("start"), count.alias("count"))
+    again = anchors.where("times = 0 OR m > 1")
+    r_start = F.shiftright("r_place", SPAN_BITS + OFF_BITS)
+    return again.select("doc", "fold", start.alias("start"), count.alias("count"), "r_doc", "r_fold", r_start.alias("r_start"))
+
+
+def differing(texts: DataFrame, copies: DataFrame, length: int) -> DataFrame:
+    """One column ``bad``: for each batch, how many runs of copies differ in a byte from what stands for
+    them. Copies of a document that follow each other in both are one run, so that each repeated byte
+    is sent about once, to the document that has the other one."""
+    marked = copies.where("doc <> r_doc OR fold <> r_fold OR start <> r_start").groupBy("doc", "fold")
+    marks = marked.agg(F.collect_list(F.struct(*COPY[2:])).alias("_marks"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for packed, found in zip(b["packed"], b["_marks"], strict=True):
+                data = _unpack(packed)
+                start, count, doc, fold, to = (np.array([m[x] for m in found], np.int64) for x in COPY[2:])
+                order = np.lexsort((start, to - start, fold, doc))
+                start, end, doc, fold, to = start[order], (start + count - 1 + length)[order], doc[order], fold[order], to[order]
+                follows = (doc[1:] == doc[:-1]) & (fold[1:] == fold[:-1]) & ((to - start)[1:] == (to - start)[:-1]) & (start[1:] <= end[:-1])
+                first = _starts(follows)
+                last = np.maximum.reduceat(end, first)
+                for k, e in zip(first.tolist(), last.tolist(), strict=True):
+                    out.append((doc[k], fold[k], to[k], data[start[k] : e]))
+            yield pd.DataFrame(out, columns=["doc", "fold", "at", "bytes"])
+
+    runs = stash(texts.join(marks, ["doc", "fold"]).mapInPandas(cut, "doc long, fold int, at long, bytes binary"), "copied-runs")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, data = None, b""
+        for b in batches:
+            bad = 0
+            for doc, fold, packed, at, part in zip(b["doc"], b["fold"], b["packed"], b["at"], b["bytes"], strict=True):
+                if (doc, fold) != last:
+                    last, data = (doc, fold), _unpack(packed)
+                bad += data[at : at + len(part)] != part
+            yield pd.DataFrame({"bad": [bad]})
+
+    return runs.join(texts, ["doc", "fold"]).select("doc", "fold", "packed", "at", "bytes").mapInPandas(compare, "bad long")
 
 
-def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """doc, fold and ``_runs`` (array of struct(start, count)): the starts, in bytes, of the strings
-    of ``length`` bytes that also start anywhere else."""
+def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
+    """doc, fold and ``_runs`` (array of struct(start, count)), the starts, in bytes, of the strings of
+    ``length`` bytes that also start anywhere else; and the packed texts. The base of one of the two
+    hashes changes if a copy is found to differ."""
     if not GRAM < length <= GRAM + (1 << OFF_BITS) - 1:
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + (1 << OFF_BITS) - 1}")
-    anchors = stash(sorted_anchors(anchor_rows(documents, key, text, length)), "anchors")
-    contexts = stash(context_rows(packed_texts(documents, key, text), anchors, length), "contexts")
-    whole = _places(anchors.where("whole"))
-    found = stash(compared(contexts, length).union(counted(contexts)), "compared").union(whole)
-    return found.groupBy("doc", "fold").agg(F.collect_list(F.struct("start", "count")).alias("_runs"))
+    texts = stash(packed_texts(documents, key, text), "packed-texts")
+    for base in (BASE2, *SPARE_BASES):
+        anchors = stash(known_anchors(anchor_rows(documents, key, text, length, base)), "anchors")
+        contexts = stash(context_rows(texts, wanted_anchors(anchors), length, base), "contexts")
+        copies = stash(context_copies(anchors).union(split_copies(contexts)), "copies")
+        if not differing(texts, copies, length).agg(F.sum("bad")).first()[0]:
+            break
+    else:
+        raise ArithmeticError("different strings agree in all hashes")
+    found = stash(compared(contexts, length), "compared").union(copies.select("doc", "fold", "start", "count"))
+    found = found.union(copies.select("r_doc", "r_fold", "r_start", "count"))
+    return found.groupBy("doc", "fold").agg(F.collect_set(F.struct("start", "count")).alias("_runs")), texts
 
 
 def removed_runs(size: int, runs, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -470,8 +559,7 @@ def digests(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
     """Per document: n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256 of the bytes
     that remain. A null text is empty; texts shorter than ``length`` lose nothing; rows that repeat
     a document repeat all its strings; rows that share an id but not a text are told apart."""
-    runs = repeats(documents, key, text, length)
-    texts = packed_texts(documents, key, text)
+    runs, texts = repeats(documents, key, text, length)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -492,7 +580,7 @@ def digests(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
 def cut_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``documents`` with each text cut; all other columns stay. What a cut leaves of a character
     is dropped with it. A null text stays null."""
-    runs = repeats(documents, key, text, length).withColumnsRenamed({"doc": "_doc", "fold": "_fold"})
+    runs = repeats(documents, key, text, length)[0].withColumnsRenamed({"doc": "_doc", "fold": "_fold"})
 
     @F.pandas_udf("string")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
