@@ -33,15 +33,42 @@ def test_long_runs(pieces, text):
     assert transducer(default_model()).count_many([text]) == [len(expected)]
 
 
-def test_chunks_compose_from_any_entry_state(pieces):
-    """The scan gives the count of the whole, whatever the chunks."""
+RUNS = [" internationalisation" * 3 + "hesthethesthe" * 9, "a" * 333, "aab" * 200 + "é" * 70, "中文字" * 60 + "😀" * 9 + "the" * 90]
+
+
+@pytest.mark.parametrize("text", RUNS)
+@pytest.mark.parametrize("size", [1, 3, 7, 50])
+def test_maps_compose_whatever_the_chunks(pieces, text, size):
+    """The scan gives the count of every prefix that ends with a chunk."""
+    machine = CountTransducer(vocabulary(default_model()))
+    text = text if text[0] == " " else " " + text
+    chunks = [text[i : i + size] for i in range(0, len(text), size)]
+    got = machine.scan(chunks).tolist()
+    ends = [min(len(text), (i + 1) * size) for i in range(len(chunks))]
+    assert got == [len(pieces.encode(text[1:e])) if e > 1 else 1 for e in ends]
+
+
+def test_maps_hold_for_every_entry_state(pieces):
+    """A map evaluated at a state agrees with the machine started there, and leads to known states."""
     machine = CountTransducer(vocabulary(default_model()))
-    text = " internationalisation" * 3 + "hesthethesthe" * 9
-    for size in (1, 3, 7, 50):
-        chunks = [text[i : i + size] for i in range(0, len(text), size)]
-        first = np.zeros(len(chunks), bool)
-        first[0] = True
-        assert machine.scan(chunks, first).sum() == len(pieces.encode(text[1:]))
+    chunks = ["hesthe", "sthehe", "aaaaaa", "aaaaab", "internat", "ionalis"]
+    to, adds = machine.state_maps(chunks)
+    exits, counts = machine.run(["".join(chunks)], np.zeros(1, np.int32))
+    at, total = 0, 0
+    for i in range(len(chunks)):
+        at, total = to[i, at], total + adds[i, at]
+    assert total == counts[0] == machine.scan(chunks)[-1]
+
+
+def test_a_vocabulary_beyond_the_rule_is_counted_by_merging(pieces, monkeypatch):
+    machine = CountTransducer(vocabulary(default_model()))
+
+    def fail(*_):
+        raise token_counts.NotFinite("no")
+
+    monkeypatch.setattr(machine, "_make", fail)
+    text = "the cat 中\x00 " + "ab" * 90
+    assert machine.count_many([text]) == [len(pieces.encode(text))]
 
 
 def test_queries_over_a_whole_table(spark, sf_dir, pieces):

@@ -8,11 +8,12 @@ deterministic transducer over characters. Each transition carries how many token
 be negative, when a character lets earlier tokens merge). States and transitions are made when a
 text first asks for them.
 
-A text is cut into chunks. A chunk's state map gives, for an entry state, the exit state and the
-tokens emitted; maps compose associatively, so all chunks run side by side (one numpy step per
-character column) and a prefix scan joins them. A chunk that begins where no token can cross has
-one entry state only, and what it emits is remembered. Inside a long run without such a place,
-each chunk starts from the exit of a guess and only those that were entered otherwise run again.
+A text is cut into chunks. A chunk's state map gives, for every entry state that can reach it, the
+exit state and the tokens emitted; maps compose associatively. A chunk that begins where no token
+can cross has one entry state only, and what it emits is remembered. In a long run without such a
+place every chunk's map is made side by side (one numpy step per character column), over the states
+in which the text before it can end, and the maps are composed by a parallel prefix scan, doubling
+its reach in each step.
 """
 
 from __future__ import annotations
@@ -32,6 +33,11 @@ UNMADE = -1
 REMEMBERED = 1 << 19
 TABLE_CELLS = 1 << 25  # the transition table starts anew beyond this
 LEARN_CHARS = 1 << 20
+LOOK_BACK = 16  # characters before a chunk from each of which the machine is started for its entry states
+
+
+class NotFinite(ValueError):
+    """The pair rule does not decide the last token, so the transducer cannot count."""
 
 
 class CountTransducer:
@@ -73,7 +79,7 @@ class CountTransducer:
             if (k == 1 or tail[-k:] in self.vocab.ids) and last[k - 1] is not None and self._stay(last[k - 1], tail[-k:])
         ]
         if len(ends) != 1:
-            raise AssertionError(f"the pair rule gives {len(ends)} last tokens for {tail!r}")
+            raise NotFinite(f"the pair rule gives {len(ends)} last tokens for {tail!r}")
         k = ends[0]
         added = 1 - since[k - 1]
         keep = next((d for d in range(len(tail), 0, -1) if tail[-d:] in self.starts), 0)
@@ -121,18 +127,51 @@ class CountTransducer:
         exits[order], counts[order] = state, total
         return exits, counts
 
-    def scan(self, chunks: list[str], first: np.ndarray) -> np.ndarray:
-        """Tokens of chunks that follow one another; ``first`` marks those that start a run of
-        their own. Every map is evaluated at the state that its predecessor's map yields."""
-        entry = np.zeros(len(chunks), np.int32)
-        exits, counts = self.run(chunks, entry)
-        while True:
-            wanted = np.where(first, 0, np.r_[0, exits[:-1]])
-            wrong = np.nonzero(wanted != entry)[0]
-            if not len(wrong):
-                return counts
-            entry[wrong] = wanted[wrong]
-            exits[wrong], counts[wrong] = self.run([chunks[i] for i in wrong], entry[wrong])
+    def state_maps(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The maps of chunks that follow one another, as matrices: for the k-th entry state of a chunk,
+        which entry state of the next chunk it leaves in, and how many tokens it adds. The first
+        chunk's only entry state is 0. Entry states are those in which a machine started at any of
+        the last LOOK_BACK characters leaves the chunk before, and all that the maps lead to."""
+        entries: list[dict[int, int]] = [{0: 0}, *({} for _ in chunks)]
+        before = [(i + 1, c[-k:]) for i, c in enumerate(chunks) for k in range(1, min(LOOK_BACK, len(c)) + 1)]
+        leaves, _ = self.run([c for _, c in before], np.zeros(len(before), np.int32))
+        for (i, _), state in zip(before, leaves.tolist(), strict=True):
+            entries[i].setdefault(state, len(entries[i]))
+        results: list[dict[int, tuple[int, int]]] = [{} for _ in chunks]
+        waiting = [(i, e) for i, states in enumerate(entries[:-1]) for e in states]
+        while waiting:
+            exits, counts = self.run([chunks[i] for i, _ in waiting], np.array([e for _, e in waiting], np.int32))
+            new = []
+            for (i, e), x, n in zip(waiting, exits.tolist(), counts.tolist(), strict=True):
+                if x not in entries[i + 1]:
+                    entries[i + 1][x] = len(entries[i + 1])
+                    if i + 1 < len(chunks):
+                        new.append((i + 1, x))
+                results[i][entries[i][e]] = (entries[i + 1][x], n)
+            waiting = new
+        width = max(map(len, entries))
+        to, adds = np.zeros((len(chunks), width), np.int64), np.zeros((len(chunks), width), np.int64)
+        for i, found in enumerate(results):
+            for k, (x, n) in found.items():
+                to[i, k], adds[i, k] = x, n
+        return to, adds
+
+    def scan(self, chunks: list[str]) -> np.ndarray:
+        """The tokens of a run of chunks up to the end of each: the prefixes of the composition of
+        their maps, in as many steps as the logarithm of their number."""
+        to, adds = self.state_maps(chunks)
+        reach = 1
+        while reach < len(chunks):
+            first, second = to[:-reach], to[reach:]
+            later = np.take_along_axis(adds[reach:], first, axis=1)
+            to, adds = np.r_[to[:reach], np.take_along_axis(second, first, axis=1)], np.r_[adds[:reach], adds[:-reach] + later]
+            reach *= 2
+        return adds[:, 0]
+
+    def plain_count(self, segment: str) -> int:
+        """The tokens of a segment by merging it."""
+        chars = self.vocab.chars
+        return sum(1 if len(t) > 1 or t in chars else len(t.encode("utf-8", "replace")) for t in self.vocab.merge(segment.replace(" ", SPACE)))
 
     def learn(self, segments: set[str]) -> None:
         if len(self.memory) > REMEMBERED:
@@ -142,15 +181,16 @@ class CountTransducer:
         new = list(segments.difference(self.memory))
         if not new:
             return
-        short = [s for s in new if len(s) <= LONG_SEGMENT]
-        if short:
-            _, counts = self.run(short, np.zeros(len(short), np.int32))
-            self.memory.update(zip(short, counts.tolist(), strict=True))
-        for s in (s for s in new if len(s) > LONG_SEGMENT):
-            chunks = [s[i : i + LONG_SEGMENT] for i in range(0, len(s), LONG_SEGMENT)]
-            first = np.zeros(len(chunks), bool)
-            first[0] = True
-            self.memory[s] = int(self.scan(chunks, first).sum())
+        try:
+            short = [s for s in new if len(s) <= LONG_SEGMENT]
+            if short:
+                _, counts = self.run(short, np.zeros(len(short), np.int32))
+                self.memory.update(zip(short, counts.tolist(), strict=True))
+            for s in (s for s in new if len(s) > LONG_SEGMENT):
+                chunks = [s[i : i + LONG_SEGMENT] for i in range(0, len(s), LONG_SEGMENT)]
+                self.memory[s] = int(self.scan(chunks)[-1])
+        except NotFinite:
+            self.memory.update((s, self.plain_count(s)) for s in new)
 
     def count_many(self, texts) -> list[int]:
         out: list[int] = []
@@ -191,6 +231,7 @@ def count_tokens(
         machine = transducer(path)
         for b in batches:
             yield pd.DataFrame({key: b["_key"].array, "n_bytes": b["_bytes"].array, "n_tokens": machine.count_many(b["_text"])})
+        machine.memory = {}  # the machine stays for the worker's next task
 
     rows = bounded_batches(documents).select(
         F.col(key).alias("_key"),
