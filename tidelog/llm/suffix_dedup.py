@@ -31,11 +31,12 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import bounded_batches, stash
+from tidelog.llm.common import bounded_batches, discard, hinted, stash
 
 LENGTH = 200
 GRAM = 40
 CROWD = 2000  # contexts of one gram beyond which its group is split by string
+GRAMS_BROADCAST = 1_000_000  # grams, of 9 bytes each, that are broadcast
 FLAT_BYTES = 1 << 19  # bytes that are hashed or sorted at a time, whole documents or groups
 BASE, BASE2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 #: Further bases, should two strings ever agree in all hashes.
@@ -192,15 +193,16 @@ def anchor_rows(documents: DataFrame, key: str, text: str, length: int, base: in
 
 
 def known_anchors(rows: DataFrame) -> DataFrame:
-    """Anchors with ``m`` (how many have the context), ``k`` (1 for the row that stands for them) and, of
-    copies, ``r_doc``, ``r_fold`` and ``r_place``, the row that stands for them."""
+    """Anchors with ``ask`` (no other has the context; null for copies) and, of copies, ``r_doc``,
+    ``r_fold`` and ``r_place``, the row that stands for them; a row that stands for others is a copy of
+    itself with ``ask`` false."""
     by_context = Window.partitionBy("gram", "context")
     ordered = by_context.orderBy(F.desc("times"), "doc", "fold", "place")
     n = rows.withColumn("m", F.sum("times").over(by_context)).withColumn("k", F.row_number().over(ordered))
-    there = F.col("times") > 0
-    for name in ("doc", "fold", "place"):
-        n = n.withColumn(f"r_{name}", F.when(there, F.first(name).over(ordered)).otherwise(F.col(f"r_{name}")))
-    return n
+    here, repeated = F.col("times") > 0, F.col("m") > 1
+    stands = [F.when(~here, F.col(f"r_{c}")).when(repeated, F.first(c).over(ordered)).alias(f"r_{c}") for c in ("doc", "fold", "place")]
+    ask = F.when(here & (F.col("k") == 1), ~repeated)
+    return n.select(F.when(ask.isNotNull(), F.col("gram")).alias("gram"), "doc", "fold", "place", ask.alias("ask"), *stands)
 
 
 def wanted_anchors(anchors: DataFrame) -> DataFrame:
@@ -208,10 +210,12 @@ def wanted_anchors(anchors: DataFrame) -> DataFrame:
     repeated context that others are compared with) and ``crowd``. Contexts are counted by gram with
     partial counts, and joined back to a written table, whose skew Spark can split: a gram that is
     everywhere has its rows in many tasks."""
-    ones = anchors.where("times > 0 AND k = 1").select("gram", "doc", "fold", "place", (F.col("m") == 1).alias("ask"))
+    ones = anchors.where("ask IS NOT NULL").select("gram", "doc", "fold", "place", "ask")
     grams = ones.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("ask").cast("int")).alias("single"))
     grams = stash(grams.where("kinds > 1 AND single > 0").select("gram", (F.col("kinds") > CROWD).alias("crowd")), "grams")
-    return stash(ones.join(grams, "gram").select("gram", "doc", "fold", "place", "ask", "crowd"), "wanted")
+    wanted = stash(ones.join(hinted(grams, GRAMS_BROADCAST), "gram").select("gram", "doc", "fold", "place", "ask", "crowd"), "wanted")
+    discard(grams)
+    return wanted
 
 
 def packed_texts(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -265,19 +269,42 @@ CONTEXTS = (
     "gram long, second long, bytes binary, doc long, fold int, place long, ask boolean, times int,"
     " start long, count long, r_doc long, r_fold int, r_start long"
 )
+COPY = ["doc", "fold", "start", "count", "r_doc", "r_fold", "r_start"]
+
+
+def _copied_runs(data: bytes, copies, length: int) -> list[tuple]:
+    """(r_doc, r_fold, r_start, bytes) of a document's copies, those that follow each other in both
+    documents as one."""
+    start, count, doc, fold, to = (np.array([m[x] for m in copies], np.int64) for x in COPY[2:])
+    order = np.lexsort((start, to - start, fold, doc))
+    start, end, doc, fold, to = start[order], (start + count - 1 + length)[order], doc[order], fold[order], to[order]
+    follows = (doc[1:] == doc[:-1]) & (fold[1:] == fold[:-1]) & ((to - start)[1:] == (to - start)[:-1]) & (start[1:] <= end[:-1])
+    first = _starts(follows)
+    last = np.maximum.reduceat(end, first)
+    return [(doc[k], fold[k], to[k], data[start[k] : e]) for k, e in zip(first.tolist(), last.tolist(), strict=True)]
+
 
+def _other(copies: DataFrame) -> DataFrame:
+    """Without rows that stand for themselves."""
+    return copies.where("doc <> r_doc OR fold <> r_fold OR start <> r_start")
 
-def context_rows(texts: DataFrame, wanted: DataFrame, length: int, base: int) -> DataFrame:
+
+def context_rows(texts: DataFrame, wanted: DataFrame, copies: DataFrame, length: int, base: int) -> DataFrame:
     """What is to be compared. Of a crowded gram: a row for each string that differs from others in the
-    batch, with two hashes, and the copies of those (with ``start``). Of the others: a row for each
-    context, with its bytes."""
-    marks = wanted.groupBy("doc", "fold").agg(F.collect_list(F.struct("gram", "place", "ask", "crowd")).alias("_marks"))
+    batch, with two hashes, and the copies of those (with ``count``). Of the others: a row for each
+    context, with its bytes. Of ``copies``: their runs (``bytes`` with r_doc, r_fold and r_start)."""
+    nothing = F.lit(None)
+    asked = wanted.groupBy("doc", "fold").agg(F.collect_list(F.struct("gram", "place", "ask", "crowd")).alias("_marks"))
+    copied = _other(copies).groupBy("doc", "fold").agg(F.collect_list(F.struct(*COPY[2:])).alias("_copies"))
+    kinds = asked.schema["_marks"].dataType, copied.schema["_copies"].dataType
+    both = asked.withColumn("_copies", nothing.cast(kinds[1])).unionByName(copied.withColumn("_marks", nothing.cast(kinds[0])))
     names = [x.split()[0] for x in CONTEXTS.split(", ")]
 
-    def frame(rows: list[tuple], strings: list[tuple]) -> pd.DataFrame:
-        more, copies = _string_rows(strings) if strings else ([], [])
+    def frame(rows: list[tuple], strings: list[tuple], runs: list[tuple]) -> pd.DataFrame:
+        more, found = _string_rows(strings) if strings else ([], [])
         rows = [(*r, *[None] * 5) for r in rows + more]
-        rows += [(None, None, None, d, f, None, None, None, at, n, rd, rf, rat) for d, f, at, n, rd, rf, rat in copies]
+        rows += [(None, None, None, d, f, None, None, None, at, n, rd, rf, rat) for d, f, at, n, rd, rf, rat in found]
+        rows += [(None, None, part, *[None] * 7, rd, rf, rat) for rd, rf, rat, part in runs]
         columns = dict(zip(names, zip(*rows, strict=True), strict=True))
         for c, kind in zip(names, CONTEXTS.split(", "), strict=True):  # with nulls, and of more bits than a float holds
             if kind.split()[1] in ("long", "int"):
@@ -285,12 +312,15 @@ def context_rows(texts: DataFrame, wanted: DataFrame, length: int, base: int) ->
         return pd.DataFrame(columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, strings, size = [], [], 0
+        out, strings, runs, size = [], [], [], 0
         for b in batches:
-            for doc, fold, packed, found in zip(b["doc"], b["fold"], b["packed"], b["_marks"], strict=True):
+            for doc, fold, packed, found, again in zip(b["doc"], b["fold"], b["packed"], b["_marks"], b["_copies"], strict=True):
                 data = _unpack(packed)
                 hashes = None
-                for m in found:
+                if again is not None:
+                    runs += _copied_runs(data, again, length)
+                    size += sum(len(r[3]) for r in runs[-len(again) :])
+                for m in found if found is not None else ():
                     span = m["place"] & ((1 << SPAN_BITS) - 1)
                     lo = m["place"] >> (SPAN_BITS + OFF_BITS)
                     if not m["crowd"]:
@@ -306,11 +336,12 @@ def context_rows(texts: DataFrame, wanted: DataFrame, length: int, base: int) ->
                     strings.append((one, two, at, np.full(span, doc), np.full(span, fold), np.full(span, m["ask"])))
                     size += 40 * span
                 if size > FLAT_BYTES:
-                    yield frame(out, strings)
-                    out, strings, size = [], [], 0
+                    yield frame(out, strings, runs)
+                    out, strings, runs, size = [], [], [], 0
         if size:
-            yield frame(out, strings)
+            yield frame(out, strings, runs)
 
+    marks = both.groupBy("doc", "fold").agg(F.first("_marks", ignorenulls=True).alias("_marks"), F.first("_copies", ignorenulls=True).alias("_copies"))
     return texts.join(marks, ["doc", "fold"]).mapInPandas(run, CONTEXTS)
 
 
@@ -449,14 +480,11 @@ def compared(contexts: DataFrame, length: int) -> DataFrame:
         if rows:
             yield results(rows)
 
-    grouped = contexts.where("bytes IS NOT NULL").select("gram", "bytes", "doc", "fold", "place")
+    grouped = contexts.where("bytes IS NOT NULL AND r_doc IS NULL").select("gram", "bytes", "doc", "fold", "place")
     grouped = grouped.repartition("gram").sortWithinPartitions("gram")
     return grouped.mapInPandas(run, "doc long, fold int, start long, count long")
 
 
-COPY = ["doc", "fold", "start", "count", "r_doc", "r_fold", "r_start"]
-
-
 def split_copies(contexts: DataFrame) -> DataFrame:
     """The same for crowded grams, as copies (runs of ``count`` starts and the ones that stand for them):
     strings whose 128 bits of hash are found twice or more, and those known already. Counts are
@@ -470,52 +498,48 @@ def split_copies(contexts: DataFrame) -> DataFrame:
         "doc", "fold", low("place").alias("start"), F.lit(1).cast("long").alias("count"), F.col("first.doc").alias("r_doc"),
         F.col("first.fold").alias("r_fold"), low("first.place").alias("r_start"),
     )
-    return found.union(contexts.where("start IS NOT NULL").select(*COPY))
+    return found.union(contexts.where("count IS NOT NULL").select(*COPY))
 
 
 def context_copies(anchors: DataFrame) -> DataFrame:
     """Copies of whole contexts."""
     start, count = F.shiftright("place", SPAN_BITS + OFF_BITS), F.col("place").bitwiseAND(F.lit((1 << SPAN_BITS) - 1))
-    again = anchors.where("times = 0 OR m > 1")
     r_start = F.shiftright("r_place", SPAN_BITS + OFF_BITS)
+    again = anchors.where("r_place IS NOT NULL")
     return again.select("doc", "fold", start.alias("start"), count.alias("count"), "r_doc", "r_fold", r_start.alias("r_start"))
 
 
-def differing(texts: DataFrame, copies: DataFrame, length: int) -> DataFrame:
-    """One column ``bad``: for each batch, how many runs of copies differ in a byte from what stands for
-    them. Copies of a document that follow each other in both are one run, so that each repeated byte
-    is sent about once, to the document that has the other one."""
-    marked = copies.where("doc <> r_doc OR fold <> r_fold OR start <> r_start").groupBy("doc", "fold")
-    marks = marked.agg(F.collect_list(F.struct(*COPY[2:])).alias("_marks"))
+def string_runs(texts: DataFrame, copies: DataFrame, length: int) -> DataFrame:
+    """The runs of copies of crowded grams' strings: r_doc, r_fold, r_start and bytes."""
+    marks = _other(copies).groupBy("doc", "fold").agg(F.collect_list(F.struct(*COPY[2:])).alias("_copies"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for packed, found in zip(b["packed"], b["_marks"], strict=True):
-                data = _unpack(packed)
-                start, count, doc, fold, to = (np.array([m[x] for m in found], np.int64) for x in COPY[2:])
-                order = np.lexsort((start, to - start, fold, doc))
-                start, end, doc, fold, to = start[order], (start + count - 1 + length)[order], doc[order], fold[order], to[order]
-                follows = (doc[1:] == doc[:-1]) & (fold[1:] == fold[:-1]) & ((to - start)[1:] == (to - start)[:-1]) & (start[1:] <= end[:-1])
-                first = _starts(follows)
-                last = np.maximum.reduceat(end, first)
-                for k, e in zip(first.tolist(), last.tolist(), strict=True):
-                    out.append((doc[k], fold[k], to[k], data[start[k] : e]))
-            yield pd.DataFrame(out, columns=["doc", "fold", "at", "bytes"])
-
-    runs = stash(texts.join(marks, ["doc", "fold"]).mapInPandas(cut, "doc long, fold int, at long, bytes binary"), "copied-runs")
+            for packed, found in zip(b["packed"], b["_copies"], strict=True):
+                yield pd.DataFrame(_copied_runs(_unpack(packed), found, length), columns=["r_doc", "r_fold", "r_start", "bytes"])
+
+    return texts.join(marks, ["doc", "fold"]).mapInPandas(cut, "r_doc long, r_fold int, r_start long, bytes binary")
+
+
+def differing(texts: DataFrame, runs: DataFrame) -> DataFrame:
+    """One column ``bad``: for each batch, how many of the written ``runs`` of copies (r_doc, r_fold, r_start,
+    bytes) differ in a byte from what stands for them. Each repeated byte is sent about once, to the
+    document that has the other one; only such documents are read."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, data = None, b""
         for b in batches:
             bad = 0
-            for doc, fold, packed, at, part in zip(b["doc"], b["fold"], b["packed"], b["at"], b["bytes"], strict=True):
+            for doc, fold, packed, at, part in zip(b["r_doc"], b["r_fold"], b["packed"], b["r_start"], b["bytes"], strict=True):
                 if (doc, fold) != last:
                     last, data = (doc, fold), _unpack(packed)
                 bad += data[at : at + len(part)] != part
             yield pd.DataFrame({"bad": [bad]})
 
-    return runs.join(texts, ["doc", "fold"]).select("doc", "fold", "packed", "at", "bytes").mapInPandas(compare, "bad long")
+    others = stash(runs.select(F.col("r_doc").alias("doc"), F.col("r_fold").alias("fold")).distinct(), "copied-documents")
+    there = texts.join(hinted(others), ["doc", "fold"], "left_semi").select(F.col("doc").alias("r_doc"), F.col("fold").alias("r_fold"), "packed")
+    met = runs.join(there, ["r_doc", "r_fold"]).select("r_doc", "r_fold", "packed", "r_start", "bytes")
+    return met.mapInPandas(compare, "bad long")
 
 
 def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -527,14 +551,23 @@ def repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
     texts = stash(packed_texts(documents, key, text), "packed-texts")
     for base in (BASE2, *SPARE_BASES):
         anchors = stash(known_anchors(anchor_rows(documents, key, text, length, base)), "anchors")
-        contexts = stash(context_rows(texts, wanted_anchors(anchors), length, base), "contexts")
-        copies = stash(context_copies(anchors).union(split_copies(contexts)), "copies")
-        if not differing(texts, copies, length).agg(F.sum("bad")).first()[0]:
+        wanted = wanted_anchors(anchors)
+        copies = stash(context_copies(anchors), "context-copies")
+        discard(anchors)
+        contexts = stash(context_rows(texts, wanted, copies, length, base), "contexts")
+        discard(wanted)
+        more = stash(split_copies(contexts), "string-copies")
+        runs = contexts.where("bytes IS NOT NULL AND r_doc IS NOT NULL").select("r_doc", "r_fold", "r_start", "bytes")
+        if not more.isEmpty():
+            runs = runs.union(stash(string_runs(texts, more, length), "string-runs"))
+        if not differing(texts, runs).agg(F.sum("bad")).first()[0]:
             break
     else:
         raise ArithmeticError("different strings agree in all hashes")
-    found = stash(compared(contexts, length), "compared").union(copies.select("doc", "fold", "start", "count"))
-    found = found.union(copies.select("r_doc", "r_fold", "r_start", "count"))
+    found = stash(compared(contexts, length), "compared")
+    discard(contexts)
+    copies = copies.union(more)
+    found = found.union(copies.select("doc", "fold", "start", "count")).union(copies.select("r_doc", "r_fold", "r_start", "count"))
     return found.groupBy("doc", "fold").agg(F.collect_set(F.struct("start", "count")).alias("_runs")), texts
 
 
