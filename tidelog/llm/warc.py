@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import re
 import uuid
-import zlib
 from collections.abc import Iterator
+from datetime import datetime
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,15 +107,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unpacked(data: bytes) -> bytes:
-    """The content of an archive, compressed by record or as a whole, or not at all."""
-    out = []
-    while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(wbits=31)
-        out.append(member.decompress(data))
-        if not member.eof:
-            raise ValueError("a compressed record ends early")
-        data = member.unused_data
-    return b"".join(out) if out else data
+    """The content of an archive, compressed by record or as a whole, or not at all. The text sink ends
+    each file with a line feed."""
+    if data[:2] != b"\x1f\x8b":
+        return data
+    try:
+        return gzip.GzipFile(fileobj=io.BytesIO(data[:-1] if data.endswith(b"\n") else data)).read()
+    except EOFError as e:
+        raise ValueError("a compressed record ends early") from e
 
 
 def _arc_fields(line: bytes, version: int | None) -> dict[str, str]:
@@ -164,12 +165,13 @@ def split_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int]]:
         at = stop + 1 + size
 
 
+@lru_cache(maxsize=10_000)
 def _is_date(arc_date: str) -> bool:
     try:
-        pd.Timestamp(_warc_date(arc_date))
+        datetime.strptime(_warc_date(arc_date), "%Y-%m-%dT%H:%M:%SZ")
     except ValueError:
         return False
-    return True
+    return arc_date[12:] not in ("60", "61")
 
 
 def _warc_date(arc_date: str) -> str:
