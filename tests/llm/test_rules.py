@@ -47,9 +47,10 @@ def test_mined_rules_block_what_the_labels_show(spark):
     tokens = pages(spark, *urls)
     host, path = url_rules.url_host(tokens.url), url_rules.url_path(tokens.url)
     tokens = tokens.select("page_id", url_rules.url_tokens(tokens.url, host, path).alias("tokens"))
-    rules = url_rules.mine_rules(url_rules.labelled(tokens, labels)).collect()
+    rules = url_rules.mine_rules(url_rules.transactions(url_rules.labelled(tokens, labels))).collect()
     assert ["h:spam"] in [r.tokens for r in rules]
     assert all("h:spam" not in r.tokens or len(r.tokens) == 1 for r in rules)  # the wider ones are redundant
+    assert all(r.mined_rule == ("h:spam" if "spam" in r.host else None) for r in got)
 
 
 @pytest.mark.parametrize("others", [100, 2000])
@@ -58,8 +59,27 @@ def test_the_same_evidence_gives_the_same_rule_at_every_size(spark, others):
     labels = spark.createDataFrame([(i, 0 if i < 12 else 1, None) for i in range(len(urls))], LABELS)
     got = {r.page_id for r in url_rules.judge_urls(pages(spark, *urls), labels).collect() if r.verdict == "block"}
     assert got == set(range(12))
-    asked = url_rules.judge_urls(pages(spark, *urls), labels, url_rules.MIN_SUPPORT)  # as op2's query
-    assert asked.where("verdict = 'block'").count() == (12 if others == 100 else 0)
+
+
+def test_rules_are_relative_to_the_rate_of_all_pages(spark):
+    """30 % of a host's pages are bad, where 5 % of all are; 55 % of another's, where 50 % of all are."""
+    for host_bad, other_bad, fires in ((30, 5, True), (55, 50, False)):
+        urls = [f"http://some.net/{i}" for i in range(100)] + [f"http://h{i % 300}.org/{i}" for i in range(600)]
+        bad = [i % 100 < host_bad for i in range(100)] + [i % 100 < other_bad for i in range(600)]
+        labels = spark.createDataFrame([(i, int(not b), None) for i, b in enumerate(bad)], LABELS)
+        got = [r.verdict == "block" for r in url_rules.judge_urls(pages(spark, *urls), labels, rules=()).collect() if "some" in r.host]
+        assert len(got) == 100 and all(got) == any(got) == fires
+
+
+def test_tokens_that_come_together_are_one_item(spark):
+    """Forty path steps that pages share do not make 2^40 itemsets, and a URL of 100,000 characters passes."""
+    steps = "/".join(f"step{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40))
+    urls = [f"http://bad.net/{steps}/{i}" for i in range(15)] + [f"http://good{i % 9}.net/{i}" for i in range(60)]
+    urls.append("http://long.net/" + "/".join(f"{'q' * 20}{i}x" for i in range(4500)))
+    labels = spark.createDataFrame([(i, int(i >= 15), None) for i in range(75)], LABELS)
+    got = url_rules.judge_urls(pages(spark, *urls), labels).collect()
+    assert {r.page_id for r in got if r.verdict == "block"} == set(range(15))
+    assert {r.mined_rule for r in got if r.verdict == "block"} == {"h:bad"}
 
 
 def test_repeated_and_empty_pages(spark):
