@@ -1,5 +1,7 @@
 """URL rules, quality rules and chats."""
 
+import collections
+
 import pytest
 
 from tidelog.llm import chat, quality, url_rules
@@ -82,6 +84,22 @@ def test_tokens_that_come_together_are_one_item(spark):
     assert {r.mined_rule for r in got if r.verdict == "block"} == {"h:bad"}
 
 
+def test_mined_rules_equal_the_sql_s_where_they_fire(spark):
+    """The small table has no rule; this one has."""
+    import duckdb
+
+    c = duckdb.connect()
+    for name in ("pages", "labels"):
+        c.sql(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.1/{name}.parquet'")
+    frames = [spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("pages", "labels")]
+    got = url_rules.judge_urls(*frames)
+    relation = c.sql(url_rules.JUDGE_SQL)
+    assert got.columns == relation.columns
+    rows = [tuple(r) for r in got.collect()]
+    assert sorted(map(str, rows)) == sorted(map(str, relation.fetchall()))
+    assert sum(r[3] is None and r[4] == "block" for r in rows) > 50
+
+
 def test_repeated_and_empty_pages(spark):
     labels = spark.createDataFrame([(0, 0, 1), (0, 1, 0), (None, 0, 0)], LABELS)
     two = pages(spark, "http://x.com/").union(pages(spark, "http://x.com/"))
@@ -95,12 +113,19 @@ def brute_measures(text):
     words = [w for w in "".join(" " if c in space else c for c in text).split(" ") if w]
     lines = [x for x in text.split("\n") if any(c not in space for c in x)]
     grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
-    covered = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(5)} if len(grams) < 3000 else set()
+    times = collections.Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if times[g] > 1 for k in range(5)}
     repeats = len(covered)
     failed = len(words) < 10 or 100 * repeats > 20 * len(words)
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), repeats, failed
 
 
+def test_repeats_in_a_very_long_text(spark):
+    rows = [(1, " ".join(f"w{i % 7000}" for i in range(12_000))), (2, " ".join(f"v{i}" for i in range(9000)) + " v1 v2 v3 v4 v5")]
+    docs = spark.createDataFrame([(*r, None, None, 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id: tuple(r)[1:7] for r in quality.judge(docs).collect()} == {d: brute_measures(t) for d, t in rows}
+
+
 def test_measures_by_brute_force(odd_documents):
     got = sorted(map(str, [(r.doc_id, *tuple(r)[1:7]) for r in quality.judge(odd_documents).collect()]))
     assert got == sorted(map(str, [(d, *brute_measures(t)) for d, t in TEXTS]))
@@ -118,7 +143,8 @@ def test_hosts(spark, no_documents):
     assert got[5000].kept and got[5002].kept and not got[5001].kept
     verdicts = {r._host_key: r for r in quality.host_verdicts(quality.measures(docs)).collect()}
     assert verdicts["worst"].host_failed and not verdicts["small"].host_failed  # one failure is shrunk
-    assert 0 < verdicts["small"].host_rate < 1
+    assert verdicts["worst"].failed_few_words == 180 and verdicts["worst"].failed_repeats == verdicts["worst"].failed_symbols == 0
+    assert 0 < verdicts["small"].rate_few_words < 1
     assert quality.judge(no_documents).count() == 0
 
 
@@ -137,13 +163,27 @@ def test_each_participant_gets_a_view(spark):
         "<|im_start|>assistant\nhé<|im_end|>\n<|im_start|>assistant\nhé<|im_end|>\n"
     )
     for r in got.values():
-        parts = [r.rendered[int(a) : int(b)] for a, b in (s.split("-") for s in r["mask"].split(",") if s)]
+        parts = [r.rendered[int(a) - r.starts_at : int(b) - r.starts_at] for a, b in (s.split("-") for s in r["mask"].split(",") if s)]
         assert "".join(parts).count("<|im_end|>") == r.rendered.count("<|im_start|>assistant")
         assert all(p.endswith("<|im_end|>") for p in parts)
     assert got[1, "bob", 1]["mask"] == ""
     assert chat.rotate(spark.createDataFrame([], CHATS)).count() == 0
 
 
+def test_blocks_put_together_are_the_whole_dialogue(spark):
+    rows = [(1, i // 2, ["ann", "bob", "system", None, "cé"][i * i % 5], "x" * (i % 9) + "é") for i in range(500)] + [(1, None, "bob", "first")]
+    talk = spark.createDataFrame([(*r, 9, "l", "m") for r in rows], CHATS).repartition(5)
+    whole = {r.perspective: r for r in chat.rotate(talk, turns=10**6).where("block = 0").collect()}
+    first = {r.perspective: r for r in chat.rotate(talk, turns=10**6).where("block = -1").collect()}
+    assert set(whole) == {"ann", "bob", "unknown", "cé"}
+    blocks = chat.rotate(talk, turns=10).collect()
+    for name, r in whole.items():
+        mine = sorted((b for b in blocks if b.perspective == name), key=lambda b: b.block)
+        assert len(mine) == 26 and "".join(b.rendered for b in mine) == first[name].rendered + r.rendered
+        assert [b.starts_at for b in mine] == [sum(len(x.rendered) for x in mine[:k]) for k in range(26)]
+        assert ",".join(filter(None, (b["mask"] for b in mine))) == ",".join(filter(None, (first[name]["mask"], r["mask"])))
+
+
 def test_native_operators_run_no_python(spark, sf_dir):
     from tidelog.llm import decontaminate
     from tidelog.llm.common import table

@@ -1,8 +1,8 @@
 """Quality rules with host-level verdicts.
 
-Four measures of every whole text decide its base rules. The failures are then counted by host,
-the rates shrunk towards all hosts' by a beta prior fitted to the rates (method of moments), and
-each host's verdict is joined back to its documents. DataFrame functions only.
+Measures of every whole text decide its rules. The failures of each rule are counted by host, the
+rates shrunk towards all hosts' by a beta prior fitted to that rule's rates (method of moments), and
+each host's verdict, on any rule, is joined back to its documents. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -16,13 +16,23 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
-HOST_LIMIT = 0.5  # a host fails where its shrunk rate of failures is over this
+SYMBOL_PERCENT = 10  # symbols in a hundred words
+LINE_PERCENT = 30  # repeated lines in a hundred
+#: Rules by name; the base rules also fail a document by themselves.
+RULES = {
+    "few_words": f"n_words < {MIN_WORDS}",
+    "repeats": f"100 * n_repeat_words > {REPEAT_PERCENT} * n_words",
+    "symbols": f"100 * n_symbols > {SYMBOL_PERCENT} * n_words",
+    "dup_lines": f"100 * n_dup_lines > {LINE_PERCENT} * n_lines",
+}
+BASE_RULES = ("few_words", "repeats")
+HOST_LIMIT = 0.5  # a host fails where its shrunk rate of failures of some rule is over this
 WEAKEST_PRIOR, STRONGEST_PRIOR = 10.0, 1e6  # bounds of the prior's weight, in documents
 
 
 def measures(documents: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
     """Key, host and measures of each whole text: n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed. A null text has no words, lines or symbols.
+    n_repeat_words, n_lines, base_failed. A null text has no words, lines or symbols.
 
     Windows of WINDOW words are compared by a 64-bit hash of their words' hashes. Most texts repeat
     none, which a set of the hashes shows; in the others a sort brings equal hashes together, and
@@ -43,6 +53,7 @@ def measures(documents: DataFrame, key: str = "doc_id", host: str = "source", te
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        F.size("_lines").cast("long").alias("n_lines"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashed"),
     )
     windows = F.when(
@@ -68,39 +79,43 @@ def measures(documents: DataFrame, key: str = "doc_id", host: str = "source", te
     )
     total = F.aggregate(covered, F.lit(0), lambda a, x: a + x)
     rows = rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long"))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+    failed = F.expr(" OR ".join(RULES[r] for r in BASE_RULES))
     return rows.select(
-        key, "_host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed")
+        key, "_host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", failed.alias("base_failed")
     )
 
 
 def host_verdicts(measured: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """Per host: its documents, failures, shrunk rate and whether it fails. The prior's mean is the
-    rate of all documents; its weight comes from the variance of the hosts' rates beyond what
-    sampling explains. A null host is a host of its own."""
-    hosts = measured.groupBy("_host").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed")
-    )
-    rate = F.col("failed") / F.col("n")
-    overall = hosts.agg(
-        (F.sum("failed") / F.sum("n")).alias("mean"),
-        F.coalesce(F.var_pop(rate), F.lit(0.0)).alias("spread"),
-        F.avg(F.lit(1.0) / F.col("n")).alias("inverse"),
-    )
-    binomial = F.col("mean") * (1 - F.col("mean"))
-    extra = F.col("spread") - binomial * F.col("inverse")
-    weight = F.when((extra > 0) & (binomial > 0), binomial / F.when(extra > 0, extra) - 1).otherwise(F.lit(STRONGEST_PRIOR))
-    weight = F.least(F.greatest(weight, F.lit(WEAKEST_PRIOR)), F.lit(STRONGEST_PRIOR))
-    prior = overall.select("mean", weight.alias("weight"))  # one row
-    shrunk = (F.col("failed") + F.col("mean") * F.col("weight")) / (F.col("n") + F.col("weight"))
-    return hosts.join(F.broadcast(prior)).select(
-        F.col("_host").alias("_host_key"), "n", "failed", shrunk.alias("host_rate"), (shrunk > limit).alias("host_failed")
-    )
+    """Per host: its documents, the failures and shrunk rate of each rule (``failed_`` and ``rate_``), and
+    whether it fails one. A prior's mean is the rule's rate of all documents; its weight comes from
+    the variance of the hosts' rates beyond what sampling explains. A null host is a host of its own."""
+    failures = [F.sum(F.expr(rule).cast("long")).alias(f"failed_{name}") for name, rule in RULES.items()]
+    hosts = measured.groupBy("_host").agg(F.count(F.lit(1)).alias("n"), *failures)
+    moments = [F.avg(F.lit(1.0) / F.col("n")).alias("inverse")]
+    for name in RULES:
+        moments.append((F.sum(f"failed_{name}") / F.sum("n")).alias(f"mean_{name}"))
+        moments.append(F.coalesce(F.var_pop(F.col(f"failed_{name}") / F.col("n")), F.lit(0.0)).alias(f"spread_{name}"))
+    overall = hosts.agg(*moments)
+    priors = []
+    for name in RULES:
+        mean = F.col(f"mean_{name}")
+        binomial = mean * (1 - mean)
+        extra = F.col(f"spread_{name}") - binomial * F.col("inverse")
+        weight = F.when((extra > 0) & (binomial > 0), binomial / F.when(extra > 0, extra) - 1).otherwise(F.lit(STRONGEST_PRIOR))
+        weight = F.least(F.greatest(weight, F.lit(WEAKEST_PRIOR)), F.lit(STRONGEST_PRIOR))
+        priors += [mean, weight.alias(f"weight_{name}")]
+    joined = hosts.join(F.broadcast(overall.select(*priors)))  # one row
+    for name in RULES:
+        weight = F.col(f"weight_{name}")
+        joined = joined.withColumn(f"rate_{name}", (F.col(f"failed_{name}") + F.col(f"mean_{name}") * weight) / (F.col("n") + weight))
+    kept = [c for name in RULES for c in (f"failed_{name}", f"rate_{name}")]
+    failed = F.greatest(*[F.col(f"rate_{name}") for name in RULES]) > limit
+    return joined.select(F.col("_host").alias("_host_key"), "n", *kept, failed.alias("host_failed"))
 
 
 def judge(documents: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text", limit: float = HOST_LIMIT) -> DataFrame:
-    """Measures of each document, ``host_rate`` and ``kept``: false where the base rules fail, else
-    whether the host's shrunk rate is within the limit. Repeated rows give a row each.
+    """Measures of each document and ``kept``: false where the base rules fail, else whether the host's
+    shrunk rates are within the limit for all rules. Repeated rows give a row each.
 
     The measures are written once, so that the texts are read once; the counts by host are combined
     before their shuffle."""
@@ -137,18 +152,20 @@ m AS (
   SELECT doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
          CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(len(lines) AS BIGINT) AS n_lines,
          CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
   FROM numbered LEFT JOIN covered c USING (k)),
-b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed FROM m),
-hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS failed FROM b GROUP BY source),
+b AS (SELECT *, {" OR ".join(RULES[r] for r in BASE_RULES)} AS base_failed FROM m),
+hosts AS (SELECT source, count(*) AS n, {", ".join(f"sum(({rule})::INT) AS failed_{name}" for name, rule in RULES.items())} FROM b GROUP BY source),
+long AS ({" UNION ALL ".join(f"SELECT source, n, '{name}' AS rule, failed_{name} AS failed FROM hosts" for name in RULES)}),
 overall AS (
-  SELECT sum(failed) / sum(n) AS mean, var_pop(failed / n) AS spread, avg(1.0 / n) AS inverse FROM hosts),
+  SELECT rule, sum(failed) / sum(n) AS mean, var_pop(failed / n) AS spread, avg(1.0 / n) AS inverse FROM long GROUP BY rule),
 prior AS (
-  SELECT mean, least(greatest(CASE WHEN spread - mean * (1 - mean) * inverse > 0 AND mean * (1 - mean) > 0
+  SELECT rule, mean, least(greatest(CASE WHEN spread - mean * (1 - mean) * inverse > 0 AND mean * (1 - mean) > 0
     THEN mean * (1 - mean) / (spread - mean * (1 - mean) * inverse) - 1 ELSE {STRONGEST_PRIOR} END, {WEAKEST_PRIOR}), {STRONGEST_PRIOR}) AS weight
   FROM overall),
-verdicts AS (SELECT source, (failed + mean * weight) / (n + weight) > {HOST_LIMIT} AS host_failed FROM hosts, prior)
+verdicts AS (
+  SELECT source, bool_or((failed + mean * weight) / (n + weight) > {HOST_LIMIT}) AS host_failed FROM long JOIN prior USING (rule) GROUP BY source)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT host_failed AS kept
 FROM b JOIN verdicts v ON b.source IS NOT DISTINCT FROM v.source
