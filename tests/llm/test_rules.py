@@ -4,7 +4,7 @@ import collections
 
 import pytest
 
-from tidelog.llm import chat, quality, url_rules
+from tidelog.llm import chat, quality, queries, url_rules
 
 from .conftest import TEXTS
 
@@ -48,7 +48,7 @@ def test_mined_rules_block_what_the_labels_show(spark):
     assert all(r.verdict == ("block" if "spam" in r.host else "allow") for r in got)
     tokens = pages(spark, *urls)
     host, path = url_rules.url_host(tokens.url), url_rules.url_path(tokens.url)
-    tokens = tokens.select("page_id", url_rules.url_tokens(tokens.url, host, path).alias("tokens"))
+    tokens = tokens.select("page_id", url_rules.url_tokens(tokens.url, host, path).alias("tokens"), tokens.page_id.alias("_document"))
     rules = url_rules.mine_rules(url_rules.transactions(url_rules.labelled(tokens, labels))).collect()
     assert ["h:spam"] in [r.tokens for r in rules]
     assert all("h:spam" not in r.tokens or len(r.tokens) == 1 for r in rules)  # the wider ones are redundant
@@ -91,8 +91,7 @@ def test_mined_rules_equal_the_sql_s_where_they_fire(spark):
     c = duckdb.connect()
     for name in ("pages", "labels"):
         c.sql(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.1/{name}.parquet'")
-    frames = [spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("pages", "labels")]
-    got = url_rules.judge_urls(*frames)
+    got = queries.op2_url_filters(spark, "/root/testdata/sf0.1")
     relation = c.sql(url_rules.JUDGE_SQL)
     assert got.columns == relation.columns
     rows = [tuple(r) for r in got.collect()]

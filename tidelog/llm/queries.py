@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.llm import chat, decontaminate, language, ngram_join, quality, sentencepiece_codec, suffix_dedup, token_counts, url_rules, warc
 from tidelog.llm.common import table
@@ -16,7 +17,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_rules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    document = url_rules.url_document(F.col("path"))
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), document=document)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

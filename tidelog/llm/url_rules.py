@@ -31,6 +31,7 @@ WIDE_ROWS = 50_000  # sets of tokens, or rules, that are broadcast
 BLOCKED, ALLOWED = "=block", "=allow"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 QUERY_PART = r"(?s)\?([^#]*)"
+DOCUMENT_NUMBER = r"/([0-9]{1,18})"
 
 
 def url_host(url: Column) -> Column:
@@ -42,6 +43,12 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL_PARTS, 2), F.lit(""))
 
 
+def url_document(path: Column) -> Column:
+    """The number that a path has as its first segment of digits, or null: in the tables, the document
+    whose text the page holds."""
+    return F.regexp_extract(path, DOCUMENT_NUMBER, 1).try_cast("long")
+
+
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
     """The sorted distinct tokens of a URL: host labels ``h:``, path segments ``p:`` with numbers as
     ``0``, and query names ``q:``."""
@@ -117,12 +124,12 @@ def mine_rules(found: DataFrame, min_pages: int = MIN_PAGES, margin: float = MAR
 
 
 def labelled(tokens: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pages that have a label under their id, with ``bad``: low quality or toxic is blocked.
-    Several labels of an id count as blocked if any is."""
+    """The pages that have a label under ``_document``, with ``bad``: low quality or toxic is blocked.
+    Several labels of a document count as blocked if any is."""
     bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
     known = labels.where(F.col("quality").isNotNull() | F.col("toxic").isNotNull())
-    classes = known.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad).alias("bad"))
-    return tokens.join(classes, "page_id").select("page_id", "tokens", "bad")
+    classes = known.groupBy(F.col("doc_id").alias("_document")).agg(F.max(bad).alias("bad"))
+    return tokens.join(classes, "_document").select("page_id", "tokens", "bad")
 
 
 def rule_index(rules: DataFrame) -> DataFrame:
@@ -145,14 +152,20 @@ def match_rules(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
     return full.groupBy("tokens").agg(F.max("rule").alias("_best")).select("tokens", F.col("_best.text").alias("mined_rule"))
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, min_pages: int = MIN_PAGES, margin: float = MARGIN, rules=GIVEN_RULES) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, labels: DataFrame, min_pages: int = MIN_PAGES, margin: float = MARGIN, rules=GIVEN_RULES, document: Column | None = None
+) -> DataFrame:
     """Per page: page_id, host, path, rule (the longest given one that fits, or null), verdict (its,
     else ``block`` if a mined rule applies, else ``allow``) and mined_rule (or null). Null URLs and
     URLs without ``://`` have empty host and path and no tokens. Without labels nothing is mined.
-    Repeated rows give a row each."""
+    Repeated rows give a row each. ``document`` (over page_id, url, host and path) is the id by which a
+    page is labelled; the page's own by default."""
     host, path = url_host(F.col("url")), url_path(F.col("url"))
     parsed = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    tokens = parsed.select("page_id", "host", "path", url_tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens"))
+    labelled_by = F.col("page_id") if document is None else document
+    tokens = parsed.select(
+        "page_id", "host", "path", labelled_by.alias("_document"), url_tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens")
+    )
     mined = match_rules(tokens, mine_rules(transactions(labelled(tokens, labels)), min_pages, margin))
     given = given_rule(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("mined_rule").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
@@ -177,16 +190,16 @@ WITH u AS (
     coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path
   FROM pages),
 t AS (
-  SELECT page_id, host, path, list_sort(list_distinct(list_concat(
+  SELECT page_id, host, path, TRY_CAST(regexp_extract(path, '{DOCUMENT_NUMBER}', 1) AS BIGINT) AS document, list_sort(list_distinct(list_concat(
     list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x),
     list_transform(list_filter(string_split(regexp_replace(path, '[0-9]+', '0', 'g'), '/'), lambda x: x <> ''), lambda x: 'p:' || x),
     list_transform(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1, 's'), '&'), lambda x: x <> ''),
                    lambda x: 'q:' || string_split(x, '=')[1])))) AS tokens
   FROM u),
 classes AS (
-  SELECT doc_id AS page_id, max(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1) AS bad
+  SELECT doc_id AS document, max(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1) AS bad
   FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
-known AS (SELECT row_number() OVER () AS k, tokens, bad FROM t JOIN classes USING (page_id)),
+known AS (SELECT row_number() OVER () AS k, tokens, bad FROM t JOIN classes USING (document)),
 places AS (SELECT token, list(k ORDER BY k) AS ks FROM (SELECT k, unnest(tokens) AS token FROM known) GROUP BY token),
 merged AS (SELECT token, min(token) OVER (PARTITION BY ks) AS item FROM places),
 items AS (
