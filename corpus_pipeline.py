@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import decontaminate, language, ngram_join, sentencepiece_codec, suffix_dedup
-from tidelog.llm.common import stash, table
+from tidelog.llm.common import discard, stash, table
 
 MIN_SCORE = 0.4
 #: The stage's own values; op5's contract binds its query only.
@@ -58,7 +58,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. What a stage wrote goes when the next one has written."""
+    docs, used = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = stash(stage(spark, docs, sf_dir), name)
+        discard(*used)
+        used = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
