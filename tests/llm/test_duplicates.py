@@ -68,6 +68,13 @@ def test_near_duplicates_by_brute_force(spark, seed, edits):
     assert got == brute_components(rows)
 
 
+def test_the_sample_leaves_a_bound_at_every_similarity():
+    for percent in range(1, 100):
+        share = ngram_join.sampled_share(percent)
+        assert share == 100 or share > 100 - percent
+    assert ngram_join.sampled_share(85) == 20 and ngram_join.sampled_share(80) == 27
+
+
 @pytest.mark.parametrize(("seed", "edits"), [(1, 6)])
 def test_groups_open_by_their_bound(spark, monkeypatch, seed, edits):
     """Which groups the token-group matrix opens, against sets; and that links need opened groups."""

@@ -3,8 +3,8 @@
 Sets of n and m tokens link only if they share at least 85 (n + m) / 185 tokens, so a set of n links
 only if it shares all but 15 % of its tokens with another one.
 
-1. A fifth of all tokens, by hash, tells which documents can link at all: at least so many of its
-   sampled tokens have to occur in other documents. Equal sets are joined to their least document.
+1. A share of all tokens, by hash (``sampled_share``), tells which documents can link at all: enough
+   of its sampled tokens have to occur in other documents. Equal sets are joined to their least one.
 2. The other documents' tokens are counted among themselves and ordered, rarest first. At the first
    token that two linked sets share, at positions i and j, both n - i and m - j tokens are left and
    must reach the share asked for. So these first tokens of each set index it, with the greatest
@@ -37,7 +37,6 @@ from tidelog.llm.components import components
 
 SHINGLE = 4
 PERCENT = 85
-SAMPLED = 5  # one token in so many, by hash, tells which documents can link
 REMEMBERED = 1 << 18
 COMMON, COMMON_MOST = 0.01, 1_000_000
 EVERYWHERE = 1 << 40  # stands for the count of a common token
@@ -80,22 +79,29 @@ class ShingleHashes:
         return np.unique(out)
 
 
+def sampled_share(percent: int) -> int:
+    """How many tokens in a hundred, by hash, tell which documents can link: a third more than may be
+    missing in a set that links, so that a quarter of a document's sampled tokens has to be shared."""
+    return min(100, -(-(100 - percent) * 4 // 3))
+
+
 def slack(n, percent: int):
     """How many tokens of a set of n may be missing in a set that it links to."""
     return n - F.floor((n * percent + 99) / 100)
 
 
-def sampled_rows(documents: DataFrame, key: str, text: str, size: int) -> DataFrame:
+def sampled_rows(documents: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
     """Rows (token, doc, times) for the sampled tokens, and one row without token for each document,
     with n, s (sampled tokens), ``known`` and 128 bits of hash of its set. A token that several
     documents of a batch have is known to be shared: it is counted in ``known``, and one row
     without document stands for all, so that a token that is everywhere has a row for each batch."""
+    share = np.uint64(sampled_share(percent))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = ShingleHashes(size)
         for b in batches:
             sets = [hashes(t) for t in b["_text"]]
-            chosen = [x[x % np.uint64(SAMPLED) == 0] for x in sets]
+            chosen = [x[x % np.uint64(100) < share] for x in sets]
             lengths = np.array([len(x) for x in chosen], np.int64)
             docs = b["_doc"].to_numpy()
             token, back, times = np.unique(np.concatenate(chosen).view(np.int64), return_inverse=True, return_counts=True)
@@ -269,7 +275,7 @@ def similar_groups(
     """``(sizes, groups)``: doc, n (0 for texts without words) and ``same``, the least document of an
     equal set; and node and component (least document reachable by links) of the documents that
     stand for their set and have a link."""
-    sizes = stash(candidates(sampled_rows(documents, key, text, size), percent), "set-sizes")
+    sizes = stash(candidates(sampled_rows(documents, key, text, size, percent), percent), "set-sizes")
     chosen = stash(sizes.where(F.col("open") & (F.col("doc") == F.col("same"))).select("doc"), "candidates")
     texts = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     texts = stash(texts.join(hinted(chosen), "doc", "left_semi"), "candidate-texts")
