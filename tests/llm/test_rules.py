@@ -170,7 +170,7 @@ def test_each_participant_gets_a_view(spark):
 
 
 def test_blocks_put_together_are_the_whole_dialogue(spark):
-    rows = [(1, i // 2, ["ann", "bob", "system", None, "cé"][i * i % 5], "x" * (i % 9) + "é") for i in range(500)] + [(1, None, "bob", "first")]
+    rows = [(1, i // 2, ["ann", "bob", "system", None, "cé"][(i + i // 3) % 5], "x" * (i % 9) + "é") for i in range(500)] + [(1, None, "bob", "first")]
     talk = spark.createDataFrame([(*r, 9, "l", "m") for r in rows], CHATS).repartition(5)
     whole = {r.perspective: r for r in chat.rotate(talk, turns=10**6).where("block = 0").collect()}
     first = {r.perspective: r for r in chat.rotate(talk, turns=10**6).where("block = -1").collect()}
