@@ -37,7 +37,7 @@ from tidelog.llm.components import components
 
 SHINGLE = 4
 PERCENT = 85
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 COMMON, COMMON_MOST = 0.01, 1_000_000
 EVERYWHERE = 1 << 40  # stands for the count of a common token
 

@@ -37,7 +37,7 @@ LENGTH = 200
 GRAM = 40
 CROWD = 2000  # contexts of one gram beyond which its group is split by string
 GRAMS_BROADCAST = 1_000_000  # grams, of 9 bytes each, that are broadcast
-FLAT_BYTES = 1 << 19  # bytes that are hashed or sorted at a time, whole documents or groups
+FLAT_BYTES = 1 << 18  # bytes that are hashed or sorted at a time, whole documents or groups
 BASE, BASE2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 #: Further bases, should two strings ever agree in all hashes.
 SPARE_BASES = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
