@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.cdr import bound_batches
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD_SEPARATOR = r"[\x20\x09-\x0D]+"
 
@@ -74,17 +76,7 @@ def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if n <= rows and (held or 0) <= BROADCAST_BYTES else df
 
 
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
-
-
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, after making sure that at most BATCH_ROWS of its texts and, but for a single longer one,
-    BATCH_BYTES go to Python in one Arrow batch. Each batch is held by the executor's JVM and its
-    worker at once. Spark has these bounds as settings of the session only; smaller ones stay."""
-    spark = df.sparkSession
-    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        name = f"spark.sql.execution.arrow.{name}"
-        if not 0 < in_bytes(spark.conf.get(name)) <= most:
-            spark.conf.set(name, str(most))
+    """``df``, after making sure that the Arrow batches of its texts that go to Python are bounded."""
+    bound_batches(df.sparkSession)
     return df
