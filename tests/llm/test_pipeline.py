@@ -1,10 +1,13 @@
 import hashlib
 
 import duckdb
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidelog.llm import decontaminate, ngram_join, suffix_dedup
+from tidelog.llm.common import bounded_batches
 
 from .conftest import TEXTS
 from .test_duplicates import DOCS, brute_components, family_rows
@@ -71,3 +74,20 @@ def test_near_copies_of_five_words_and_four_fifths_go(spark, seed):
     assert roots(5, 80) != roots(4, 85)
     stage = dict(corpus_pipeline.STAGES)["ngram_join"]
     assert {r.doc_id for r in stage(spark, spark.createDataFrame(rows, DOCS), "").collect()} == roots(5, 80)
+
+
+@pytest.mark.parametrize(("rows", "chars", "most"), [(2000, 10, 250), (40, 1 << 18, 17)])
+def test_batches_of_texts_are_small(spark, rows, chars, most):
+    """A worker keeps much of what its largest batch took, so a batch has 250 rows and 4 MB at most."""
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n, x in zip(names, ("10000", "64m"), strict=True):
+            spark.conf.set(n, x)
+        docs = bounded_batches(spark.range(rows).coalesce(1).select(F.repeat(F.lit("x"), chars).alias("text")))
+        sizes = docs.mapInPandas(lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) == rows
+        assert max(r.n for r in sizes) <= most
+    finally:
+        for n, x in zip(names, before, strict=True):
+            spark.conf.set(n, x)

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from tidelog.llm import sentencepiece_codec, token_counts
 from tidelog.llm.piece_bpe import default_model, vocabulary
-from tidelog.llm.sentencepiece_codec import codec
+from tidelog.llm.sentencepiece_codec import MergeRounds, codec
 from tidelog.llm.token_counts import CountTransducer, transducer
 
 from .conftest import TEXTS
@@ -71,6 +71,16 @@ def test_a_vocabulary_beyond_the_rule_is_counted_by_merging(pieces, monkeypatch)
     assert machine.count_many([text]) == [len(pieces.encode(text))]
 
 
+def test_a_worker_remembers_a_bounded_number_of_segments(pieces):
+    """Texts whose words never come again: what is remembered does not grow with them."""
+    coder = MergeRounds(vocabulary(default_model()))
+    most, texts = 0, [" ".join(f"{i:05x}" for i in range(k, k + 5000)) for k in range(0, 240_000, 5000)]
+    for text, ids in zip(texts, coder.encode_many(texts), strict=True):
+        most = max(most, len(coder.memory))
+        assert ids.tolist() == pieces.encode(text)
+    assert 50_000 < most <= 180_000
+
+
 def test_queries_over_a_whole_table(spark, sf_dir, pieces):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}

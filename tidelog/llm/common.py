@@ -76,7 +76,12 @@ def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if n <= rows and (held or 0) <= BROADCAST_BYTES else df
 
 
+TEXT_ROWS, TEXT_BYTES = 250, 4 << 20
+
+
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, after making sure that the Arrow batches of its texts that go to Python are bounded."""
-    bound_batches(df.sparkSession)
+    """``df``, after making sure that the Arrow batches of its texts that go to Python are bounded. The
+    bounds are below those of messages: of a text come hundreds of tokens, in several arrays, and a
+    worker keeps much of what its largest batch took while it waits for the next task."""
+    bound_batches(df.sparkSession, TEXT_ROWS, TEXT_BYTES)
     return df

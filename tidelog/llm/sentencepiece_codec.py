@@ -21,8 +21,8 @@ from tidelog.llm.common import bounded_batches
 from tidelog.llm.piece_bpe import LONG_SEGMENT, SPACE, PieceVocab, code_points, default_model, vocabulary
 
 NONE = np.int32(2**31 - 1)
-LEARN_CHARS = 1 << 20
-REMEMBERED = 1 << 19  # segments that a worker keeps; beyond it, the memory is emptied
+LEARN_CHARS = 1 << 18
+REMEMBERED = 1 << 17  # segments that a worker keeps; beyond it, the memory is emptied
 
 
 class MergeRounds:
